@@ -173,3 +173,7 @@ def _arpdau(spark, sf_dir):
 @register("fct_store_conversion")
 def _store_conv(spark, sf_dir):
     return models(spark, sf_dir).fct_store_conversion
+
+
+# operator, check, usage, report, source and streaming keys register themselves on import
+from gamelake.plans import catalog_checks, catalog_ops  # noqa: E402,F401

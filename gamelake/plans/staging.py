@@ -143,3 +143,11 @@ def stg_progression(raw: DataFrame) -> DataFrame:
         "filename", "load_ts",
     )
     return _dedup(parsed)
+
+
+def extract(df: DataFrame, spec: dict[str, tuple[str, str]], keep: list[str] | None = None) -> DataFrame:
+    """Typed projection of VARIANT paths (PRJ-1..PRJ-3): ``{name: (path, type)}``.
+
+    Paths may be dotted (``$.killer.kills``) or indexed (``$.platform_accounts[0].id``).
+    """
+    return df.select(*(keep or []), *[vget(p, t).alias(n) for n, (p, t) in spec.items()])
