@@ -52,6 +52,8 @@ def merge_into_partitions(spark: SparkSession, batch: DataFrame, path: str, key:
     before the overwrite, because a job cannot overwrite the files it is reading.
     """
     key = [key] if isinstance(key, str) else list(key)
+    if batch.isEmpty():  # e.g. the trailing no-data batch of a stateful stream
+        return
     try:
         target = spark.read.format(fmt).load(path)
     except Exception:  # noqa: BLE001 - first load: no table yet

@@ -229,14 +229,59 @@ def repair_nested(stg_like: DataFrame, col: str = "killer_perks") -> DataFrame:
 
 
 def out_of_order(df: DataFrame, session_col: str = "session_id", ts_col: str = "event_timestamp",
-                 order_cols: list[str] | None = None) -> DataFrame:
-    """Events whose timestamp is earlier than the previous event's in load order (DQ-18)."""
-    from pyspark.sql import Window
+                 order_cols: list[str] | None = None, partitions: int | None = None) -> DataFrame:
+    """Events whose timestamp is earlier than the previous event's in load order (DQ-18).
+
+    A ``Window.partitionBy(session)`` would put a session holding a third of all rows
+    (a bot) into one task. Instead rows are range-partitioned by (session, load order):
+    the sampled range bounds split a hot session across several tasks. Each sorted
+    partition computes the predecessor of its rows locally (``mapInPandas``); only
+    the first row of a partition needs the previous partition's last row, and those
+    tails (one row per partition, a bound set by the partition count) are broadcast.
+    """
+    import pandas as pd
+
     order_cols = order_cols or ["load_ts", "event_id"]
-    w = Window.partitionBy(session_col).orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    prev = F.lag(ts_col).over(w)
-    return (df.withColumn("prev_event_timestamp", prev)
-            .where(F.col(ts_col) < F.col("prev_event_timestamp"))
+    keys = [session_col] + order_cols
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in keys])
+              .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in keys])
+              .withColumn("_pid", F.spark_partition_id()))
+    from pyspark.sql import types as T
+    base = ranged.schema
+    schema = T.StructType(list(base.fields) + [T.StructField("prev_event_timestamp", base[ts_col].dataType),
+                                               T.StructField("_first", T.BooleanType())])
+
+    def local_lag(batches):
+        # streams the partition's Arrow batches in order, carrying the last row across batches
+        prev_s, prev_t, first = None, pd.NaT, True
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            ps, pt = pdf[session_col].shift(1), pdf[ts_col].shift(1)
+            ps.iloc[0], pt.iloc[0] = prev_s, prev_t
+            pdf["prev_event_timestamp"] = pt.where(pdf[session_col].eq(ps))
+            pdf["_first"] = False
+            if first:
+                pdf.loc[pdf.index[0], "_first"] = True
+                first = False
+            prev_s, prev_t = pdf[session_col].iloc[-1], pdf[ts_col].iloc[-1]
+            yield pdf
+
+    local = ranged.mapInPandas(local_lag, schema)
+    last_w = F.max_by(F.struct(F.col(session_col).alias("s"), F.col(ts_col).alias("t")),
+                      F.struct(*[F.col(c) for c in keys]))
+    from pyspark.sql import Window
+    # one row per non-empty partition; each tail feeds the next non-empty partition
+    tails = (ranged.groupBy("_pid").agg(last_w.alias("_tail"))
+             .withColumn("_next", F.lead("_pid").over(Window.orderBy("_pid")))
+             .select(F.col("_next").alias("_pid"), F.col("_tail.s").alias("_tail_s"), F.col("_tail.t").alias("_tail_t")))
+    fixed_rows = local.join(F.broadcast(tails), "_pid", "left").withColumn(
+        "prev_event_timestamp",
+        F.when(F.col("_first") & (F.col("_tail_s") == F.col(session_col)), F.col("_tail_t"))
+         .otherwise(F.col("prev_event_timestamp")))
+    out = fixed_rows.drop("_pid", "_first", "_tail_s", "_tail_t")
+    return (out.where(F.col(ts_col) < F.col("prev_event_timestamp"))
             .withColumn("seconds_early", F.timestamp_diff("SECOND", F.col(ts_col), F.col("prev_event_timestamp"))))
 
 

@@ -47,7 +47,10 @@ def stream_dedup(sdf: DataFrame, key: str = "event_id", ts: str = "event_timesta
     state stays bounded by the lateness window. Where the last load must win, use
     ``merge_batch`` instead.
     """
-    return sdf.withWatermark(ts, f"{lateness_hours} hours").dropDuplicatesWithinWatermark([key])
+    # watermarks need TIMESTAMP (LTZ); the session clock is UTC so the cast keeps the instant
+    wm = sdf.withColumn("_event_time", F.col(ts).cast("timestamp"))
+    return (wm.withWatermark("_event_time", f"{lateness_hours} hours")
+            .dropDuplicatesWithinWatermark([key]).drop("_event_time"))
 
 
 def merge_batch(spark: SparkSession, target_path: str, key: str = "event_id", part_col: str = "event_date",
@@ -79,8 +82,9 @@ def stream_daily_activity(sdf: DataFrame, lateness_hours: int = fixed.MAX_LATENE
     batch model. The watermark bounds state to days that can still receive events.
     """
     a = F.col("action")
-    g = (sdf.withWatermark("event_timestamp", f"{lateness_hours} hours")
-         .groupBy(F.window("event_timestamp", "1 day").alias("w"), "player_id", "platform", "region")
+    g = (sdf.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
+         .withWatermark("_event_time", f"{lateness_hours} hours")
+         .groupBy(F.window("_event_time", "1 day").alias("w"), "player_id", "platform", "region")
          .agg(F.count(F.lit(1)).alias("total_events"),
               F.count_if(a == "login").alias("login_count"),
               F.count_if(a == "match_start").alias("matches_started"),
@@ -88,7 +92,8 @@ def stream_daily_activity(sdf: DataFrame, lateness_hours: int = fixed.MAX_LATENE
               F.count_if(a == "store_visit").alias("store_visits"),
               F.min("event_timestamp").alias("first_event_at"),
               F.max("event_timestamp").alias("last_event_at")))
-    return g.select("player_id", F.to_date(F.col("w.start")).alias("activity_date"), "platform", "region",
+    return g.select("player_id", F.to_date(F.col("w.start").cast("timestamp_ntz")).alias("activity_date"),
+                    "platform", "region",
                     "total_events", "login_count", "matches_started", "matches_ended", "store_visits",
                     "first_event_at", "last_event_at",
                     datediff_boundary("minute", "first_event_at", "last_event_at").alias("active_minutes"))

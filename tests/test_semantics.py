@@ -24,7 +24,7 @@ def test_safe_ratio_guards_zero(spark):
 def test_to_array_wraps_non_arrays(spark):
     df = spark.sql("""select parse_json(j) v from values ('[1,2]'), ('{"a":1}'), ('"x,y"'), ('null'), ('[]') as t(j)""")
     got = [r.n for r in df.select(F.size(to_array("v")).alias("n")).collect()]
-    assert got == [2, 1, 1, -1, 0]
+    assert got == [2, 1, 1, None, 0]  # JSON null stays NULL (size of NULL is NULL under ANSI)
     missing = spark.sql("select parse_json('{}') v").select(to_array(F.variant_get("v", "$.nope", "variant")).alias("a"))
     assert missing.collect()[0].a is None
 
