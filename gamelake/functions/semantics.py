@@ -49,19 +49,27 @@ def to_array(v) -> Column:
     """Warehouse ``::array`` on a VARIANT (S-5, PRJ-4).
 
     An array stays an array, NULL (SQL or JSON null) stays NULL and any other
-    value becomes a one-element array. Result type: ``array<variant>``.
+    value becomes a one-element array. Result type: ``array<variant>``. The array
+    test is a typed cast (cheap), not ``schema_of_variant`` (which walks the value).
     """
     v = _c(v)
+    arr = F.try_variant_get(v, "$", "array<variant>")
     return (
         F.when(v.isNull() | F.is_variant_null(v), F.lit(None))
-        .when(F.schema_of_variant(v).startswith("ARRAY"), F.variant_get(v, "$", "array<variant>"))
+        .when(arr.isNotNull(), arr)
         .otherwise(F.array(v))
     )
 
 
 def to_string_array(v) -> Column:
-    """``to_array`` then each element as a string (``value::varchar`` per element)."""
-    return F.transform(to_array(v), lambda x: F.try_variant_get(x, "$", "string"))
+    """``to_array`` then each element as a string (``value::varchar`` per element).
+
+    Fast path: a well-formed array of scalars casts in one step; the element-wise
+    coercion only runs where that cast fails (an object, a joined string, mixed types).
+    """
+    v = _c(v)
+    return F.coalesce(F.try_variant_get(v, "$", "array<string>"),
+                      F.transform(to_array(v), lambda x: F.try_variant_get(x, "$", "string")))
 
 
 def cents_to_dollars(col) -> Column:

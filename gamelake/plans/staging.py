@@ -40,16 +40,35 @@ def _dedup(df: DataFrame, key: str = "event_id") -> DataFrame:
                      [F.col("load_ts").desc_nulls_first(), F.col("filename").desc_nulls_first()])
 
 
+SURVIVOR_TYPE = ("array<struct<player_id string, platform_player_id string, character_id string, escaped boolean, "
+                 "generators_completed double, score double, perks variant>>")
+
+
+def _survivors() -> Column:
+    """Typed survivors array. Fast path: one typed cast of the whole array. Where it
+    fails (a single object instead of an array, a badly typed field) the lenient
+    element-wise path coerces the shape (PRJ-4) and each field separately."""
+    v = F.variant_get(_raw(), "$.survivors", "variant")
+
+    def shape(player_id, platform_player_id, character_id, escaped, gens, score, perks):
+        return F.struct(player_id.alias("player_id"), platform_player_id.alias("platform_player_id"),
+                        character_id.alias("character_id"), escaped.alias("escaped"),
+                        F.round(gens).cast("int").alias("generators_completed"),
+                        F.round(score).cast("int").alias("score"),
+                        to_string_array(perks).alias("perks"))
+
+    fast = F.transform(F.try_variant_get(v, "$", SURVIVOR_TYPE), lambda s: shape(
+        s["player_id"], s["platform_player_id"], s["character_id"], s["escaped"],
+        s["generators_completed"], s["score"], s["perks"]))
+    slow = F.transform(to_array(v), lambda s: shape(
+        vget("$.player_id", "string", s), vget("$.platform_player_id", "string", s),
+        vget("$.character_id", "string", s), vget("$.escaped", "boolean", s),
+        vget("$.generators_completed", "double", s), vget("$.score", "double", s),
+        F.variant_get(s, "$.perks", "variant")))
+    return F.coalesce(fast, slow)
+
+
 def stg_matches(raw: DataFrame) -> DataFrame:
-    survivor = lambda s: F.struct(
-        vget("$.player_id", "string", s).alias("player_id"),
-        vget("$.platform_player_id", "string", s).alias("platform_player_id"),
-        vget("$.character_id", "string", s).alias("character_id"),
-        vget("$.escaped", "boolean", s).alias("escaped"),
-        _int("$.generators_completed", s).alias("generators_completed"),
-        _int("$.score", s).alias("score"),
-        to_string_array(F.variant_get(s, "$.perks", "variant")).alias("perks"),
-    )
     parsed = raw.select(
         vget("$.event_id", "string").alias("event_id"),
         vget("$.match_id", "string").alias("match_id"),
@@ -63,7 +82,7 @@ def stg_matches(raw: DataFrame) -> DataFrame:
         _int("$.killer.kills").alias("killer_kills"),
         _int("$.killer.hooks").alias("killer_hooks"),
         _int("$.killer.score").alias("killer_score"),
-        F.transform(to_array(F.variant_get(_raw(), "$.survivors", "variant")), survivor).alias("survivors"),
+        _survivors().alias("survivors"),
         "filename", "load_ts",
     )
     return _dedup(parsed)
