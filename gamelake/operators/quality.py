@@ -238,15 +238,22 @@ def out_of_order(df: DataFrame, session_col: str = "session_id", ts_col: str = "
     partition computes the predecessor of its rows locally (``mapInPandas``); only
     the first row of a partition needs the previous partition's last row, and those
     tails (one row per partition, a bound set by the partition count) are broadcast.
+    The partitioned rows are written once to the checkpoint folder (one extra pass).
     """
     import pandas as pd
 
     order_cols = order_cols or ["load_ts", "event_id"]
     keys = [session_col] + order_cols
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    from gamelake.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    # Range bounds are sampled per execution, so the partition ids must be fixed once:
+    # the partitioned, sorted rows are checkpointed to the shared checkpoint folder and
+    # both the local pass and the partition tails read that same copy.
     ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in keys])
               .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in keys])
-              .withColumn("_pid", F.spark_partition_id()))
+              .withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
     from pyspark.sql import types as T
     base = ranged.schema
     schema = T.StructType(list(base.fields) + [T.StructField("prev_event_timestamp", base[ts_col].dataType),

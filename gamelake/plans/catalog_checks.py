@@ -90,8 +90,8 @@ def _dq_rows(spark, sf):
 
 @register("dq_required_keys")
 def _dq_required(spark, sf):
-    raw = models(spark, sf).raw["mmr_update"]
-    return Q.required_keys(raw, ["event_id", "timestamp", "player_id", "role", "mmr_after"])
+    raw = models(spark, sf).raw["match_completed"]
+    return Q.required_keys(raw, fixed.EXPECTED_KEYS["match_completed"])
 
 
 @register("volume_anomaly")

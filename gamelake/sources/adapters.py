@@ -45,7 +45,9 @@ def _filename(kind: str, ts: Column) -> Column:
 
 
 def _bronze(kind: str, payload: Column, ts: Column, load_ts: Column) -> list[Column]:
-    return [F.parse_json(F.to_json(payload)).alias("raw_data"),
+    # struct -> VARIANT object directly (no JSON text round trip); NULL fields stay as
+    # JSON nulls, i.e. present keys, as a JSON producer that writes nulls would emit
+    return [F.to_variant_object(payload).alias("raw_data"),
             _filename(kind, ts).alias("filename"),
             load_ts.cast("timestamp_ntz").alias("load_ts")]
 
