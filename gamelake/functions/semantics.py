@@ -72,6 +72,15 @@ def to_string_array(v) -> Column:
                       F.transform(to_array(v), lambda x: F.try_variant_get(x, "$", "string")))
 
 
+def path_string_array(root, path: str) -> Column:
+    """``root:path::array`` with string elements, reading typed values straight from
+    the root by path (which the parquet scan can push down); the element-wise
+    coercion of ``to_string_array`` only runs where the typed read fails."""
+    root = _c(root)
+    return F.coalesce(F.try_variant_get(root, path, "array<string>"),
+                      to_string_array(F.variant_get(root, path, "variant")))
+
+
 def cents_to_dollars(col) -> Column:
     """``round(col::number(18,2) / 100, 2)``."""
     return F.round(_c(col).cast("decimal(18,2)") / F.lit(100), 2).cast("decimal(18,2)")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gamelake.functions.semantics import to_array, to_string_array
+from gamelake.functions.semantics import path_string_array, to_array, to_string_array
 from gamelake.operators.dedup import latest_by
 
 
@@ -41,30 +41,27 @@ def _dedup(df: DataFrame, key: str = "event_id") -> DataFrame:
 
 
 SURVIVOR_TYPE = ("array<struct<player_id string, platform_player_id string, character_id string, escaped boolean, "
-                 "generators_completed double, score double, perks variant>>")
+                 "generators_completed double, score double, perks array<string>>>")
 
 
 def _survivors() -> Column:
-    """Typed survivors array. Fast path: one typed cast of the whole array. Where it
-    fails (a single object instead of an array, a badly typed field) the lenient
-    element-wise path coerces the shape (PRJ-4) and each field separately."""
-    v = F.variant_get(_raw(), "$.survivors", "variant")
-
-    def shape(player_id, platform_player_id, character_id, escaped, gens, score, perks):
-        return F.struct(player_id.alias("player_id"), platform_player_id.alias("platform_player_id"),
-                        character_id.alias("character_id"), escaped.alias("escaped"),
-                        F.round(gens).cast("int").alias("generators_completed"),
-                        F.round(score).cast("int").alias("score"),
-                        to_string_array(perks).alias("perks"))
-
-    fast = F.transform(F.try_variant_get(v, "$", SURVIVOR_TYPE), lambda s: shape(
-        s["player_id"], s["platform_player_id"], s["character_id"], s["escaped"],
-        s["generators_completed"], s["score"], s["perks"]))
-    slow = F.transform(to_array(v), lambda s: shape(
-        vget("$.player_id", "string", s), vget("$.platform_player_id", "string", s),
-        vget("$.character_id", "string", s), vget("$.escaped", "boolean", s),
-        vget("$.generators_completed", "double", s), vget("$.score", "double", s),
-        F.variant_get(s, "$.perks", "variant")))
+    """Survivors as a typed array; numeric fields stay double here and get the
+    warehouse ``::int`` rounding after the flatten (int_match_enriched), where the
+    reference applies it.
+
+    Fast path: one typed cast of the whole array, no per-element work. Where it fails
+    (a single object instead of an array, a comma-joined perks string, a badly typed
+    field) the lenient element-wise path coerces shapes (PRJ-4) and each field.
+    """
+    fast = F.try_variant_get(_raw(), "$.survivors", SURVIVOR_TYPE)  # direct path: pushed into the scan
+    slow = F.transform(to_array(F.variant_get(_raw(), "$.survivors", "variant")), lambda s: F.struct(
+        vget("$.player_id", "string", s).alias("player_id"),
+        vget("$.platform_player_id", "string", s).alias("platform_player_id"),
+        vget("$.character_id", "string", s).alias("character_id"),
+        vget("$.escaped", "boolean", s).alias("escaped"),
+        vget("$.generators_completed", "double", s).alias("generators_completed"),
+        vget("$.score", "double", s).alias("score"),
+        to_string_array(F.variant_get(s, "$.perks", "variant")).alias("perks")))
     return F.coalesce(fast, slow)
 
 
@@ -78,7 +75,7 @@ def stg_matches(raw: DataFrame) -> DataFrame:
         vget("$.game_mode", "string").alias("game_mode"),
         vget("$.killer.player_id", "string").alias("killer_player_id"),
         vget("$.killer.character_id", "string").alias("killer_character_id"),
-        to_string_array(F.variant_get(_raw(), "$.killer.perks", "variant")).alias("killer_perks"),
+        path_string_array(_raw(), "$.killer.perks").alias("killer_perks"),
         _int("$.killer.kills").alias("killer_kills"),
         _int("$.killer.hooks").alias("killer_hooks"),
         _int("$.killer.score").alias("killer_score"),
