@@ -481,3 +481,23 @@ def _stream_activity(spark, sf):
          .option("checkpointLocation", base + "/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(base + "/activity")
+
+
+PROFILE_FIRST_RUN = "2024-01-15 00:00:00"
+
+
+@register("scd2_merge")
+def _scd2_merge(spark, sf):
+    """Check-strategy SCD2 of player profiles: the latest registration per player as of
+    a first run, then as of the end of the data, merged with ``scd2_apply``."""
+    from gamelake.operators.incremental import scd2_apply
+    from gamelake.plans.staging import stg_players
+    raw = models(spark, sf).raw["player_registration"]
+
+    def state(as_of=None):
+        r = raw if as_of is None else raw.where(F.col("load_ts") <= as_of)
+        return stg_players(r).select("player_id", "username", "platform", "region")
+
+    t1 = F.lit(PROFILE_FIRST_RUN).cast("timestamp_ntz")
+    first = scd2_apply(None, state(t1), "player_id", ["username", "region"], t1)
+    return scd2_apply(first, state(), "player_id", ["username", "region"], _max(raw, "load_ts"))

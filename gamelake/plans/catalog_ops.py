@@ -487,3 +487,15 @@ def _date_spine(spark, sf):
     lo = s.select(F.min(F.to_date("event_timestamp"))).scalar()
     hi = s.select(F.max(F.to_date("event_timestamp"))).scalar()
     return date_spine(spark, lo, hi).select("date_day", "month_start_date", "month_end_date")
+
+
+@register("pivot_sum")
+def _pivot_sum(spark, sf):
+    """Day x item category revenue: dynamic pivot over an explicit value list, empty cells 0."""
+    from gamelake.functions.classify import item_category
+    cats = ["cosmetic", "dlc", "rift_pass", "auric_cells", "other"]
+    s = models(spark, sf).stg_store_transactions
+    p = (s.withColumn("item_category", item_category("item_type"))
+         .groupBy(F.to_date("event_timestamp").alias("revenue_date"))
+         .pivot("item_category", cats).agg(F.sum("amount_usd")).fillna(0, subset=cats))
+    return p.select("revenue_date", *[F.col(c).cast("double").alias(c) for c in cats])

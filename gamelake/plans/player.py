@@ -20,8 +20,8 @@ def fct_dau_mau(daily_activity: DataFrame, method: str = "coverage") -> DataFram
     ``rolling_distinct`` (no theta join). The distinct (date, player) pairs are built
     once and shared by all three counts.
     """
-    pairs = daily_activity.select("activity_date", "player_id").distinct()
-    dau = pairs.groupBy("activity_date").agg(F.count(F.lit(1)).alias("dau"))
+    pairs = daily_activity.select("activity_date", "player_id").where(F.col("player_id").isNotNull()).distinct()
+    dau = pairs.groupBy("activity_date").agg(F.count(F.lit(1)).alias("dau"))  # = count(distinct player_id)
     wau = rolling_distinct(pairs, "activity_date", "player_id", 7, "wau", method)
     mau = rolling_distinct(pairs, "activity_date", "player_id", 30, "mau", method)
     return (dau.join(wau, "activity_date", "left").join(mau, "activity_date", "left")
