@@ -43,13 +43,15 @@ def merge_upsert(target: DataFrame, batch: DataFrame, key: list[str] | str) -> D
 
 
 def merge_into_partitions(spark: SparkSession, batch: DataFrame, path: str, key: list[str] | str,
-                          part_col: str, fmt: str = "parquet") -> None:
+                          part_col: str, fmt: str = "parquet", search_days: int | None = 2) -> None:
     """Upsert ``batch`` into a table partitioned by ``part_col`` rewriting only touched partitions.
 
     Touched partitions are the batch's own plus those holding a replaced key (a
     near-duplicate can move an event across midnight, so its old partition is
-    rewritten too). The new content is staged under the shared checkpoint folder
-    before the overwrite, because a job cannot overwrite the files it is reading.
+    rewritten too). Replaced keys are searched only in date partitions within
+    ``search_days`` of the batch's dates (partition pruning; None searches the whole
+    table). The new content is staged under the shared checkpoint folder before the
+    overwrite, because a job cannot overwrite the files it is reading.
     """
     key = [key] if isinstance(key, str) else list(key)
     if batch.isEmpty():  # e.g. the trailing no-data batch of a stateful stream
@@ -60,7 +62,12 @@ def merge_into_partitions(spark: SparkSession, batch: DataFrame, path: str, key:
         batch.write.format(fmt).partitionBy(part_col).mode("overwrite").save(path)
         return
     keys = batch.select(*key).distinct()
-    moved = target.join(keys, key, "left_semi").select(part_col)
+    near = target
+    if search_days is not None:
+        lo = batch.select(F.min(part_col)).scalar()
+        hi = batch.select(F.max(part_col)).scalar()
+        near = target.where((F.col(part_col) >= F.date_sub(lo, search_days)) & (F.col(part_col) <= F.date_add(hi, search_days)))
+    moved = near.join(keys, key, "left_semi").select(part_col)
     touched = batch.select(part_col).union(moved).distinct()
     old = target.join(touched, part_col, "left_semi").join(keys, key, "left_anti")
     new = old.unionByName(batch.select(*target.columns))

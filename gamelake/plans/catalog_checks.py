@@ -374,7 +374,8 @@ def _materialize(spark, sf):
 def _clustered(spark, sf):
     s = models(spark, sf).stg_sessions.withColumn("event_date", F.to_date("event_timestamp"))
     path = _sink_path(spark, "clustered")
-    s.repartition("event_date").sortWithinPartitions("player_id").write.partitionBy("event_date").parquet(path)
+    from gamelake.sources.events import write_clustered
+    write_clustered(s, path, ["event_date"], ["player_id"])
     back = spark.read.parquet(path)
     last = _max(back, "event_date")
     return back.where(F.col("event_date") > F.date_sub(last, 7)).select(*SESSION_COLS, "event_date")

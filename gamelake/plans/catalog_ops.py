@@ -447,8 +447,9 @@ def _order_by_case(spark, sf):
 
 @register("nulls_last")
 def _nulls_last(spark, sf):
+    """Top-20 MMR updates by value, DESC NULLS LAST (unknown MMR never tops the report)."""
     s = models(spark, sf).stg_mmr_updates
-    return s.orderBy(F.col("mmr_after").asc_nulls_last(), F.col("event_id").asc()).limit(25).select(
+    return s.orderBy(F.col("mmr_after").desc_nulls_last(), F.col("event_id").asc()).limit(20).select(
         "event_id", "mmr_after")
 
 

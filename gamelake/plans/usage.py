@@ -110,7 +110,7 @@ def usage_cumulative(metering: DataFrame, as_of: Column, budget: float = 10.0) -
     start, end = F.to_date(F.date_trunc("month", as_of)), F.last_day(F.to_date(as_of))
     daily = (metering.where(F.col("start_time") >= F.date_trunc("month", as_of))
              .groupBy(F.to_date("start_time").alias("day")).agg(F.sum("credits_used").alias("daily_credits")))
-    spine = metering.agg(F.lit(1).alias("_x")).select(F.explode(F.sequence(start, end)).alias("day"))
+    spine = metering.sparkSession.range(1).select(F.explode(F.sequence(start, end)).alias("day"))
     j = spine.join(daily, "day", "left").withColumn("daily_credits", F.coalesce("daily_credits", F.lit(0.0)))
     w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     return j.select("day", "daily_credits", F.sum("daily_credits").over(w).alias("cumulative_credits"),

@@ -85,3 +85,25 @@ def write_events(df: DataFrame, path: str, max_rows: int = 5000,
 def read_routed_events(spark: SparkSession, path: str, event_type: str) -> DataFrame:
     """Read back a tree written by ``write_events`` for one event type."""
     return read_events(spark, path.rstrip("/") + f"/event_type={event_type}", glob=None)
+
+
+def write_clustered(df: DataFrame, path: str, partition_cols: list[str] | None = None,
+                    sort_cols: list[str] | None = None, mode: str = "overwrite", salt: int = 8) -> None:
+    """Physically cluster a table (SNK-2): directory partitions on low-cardinality
+    columns (e.g. event_date) so date filters prune whole folders, and rows sorted by
+    ``sort_cols`` inside each file so parquet min/max statistics skip row groups.
+
+    Rows are spread over ``salt`` writers per partition value (a deterministic hash), so
+    a hot day is not written by a single task.
+    """
+    partition_cols = partition_cols or []
+    sort_cols = sort_cols or []
+    if partition_cols:
+        s = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt))
+        df = df.repartition(*[F.col(c) for c in partition_cols], s)
+    if sort_cols:
+        df = df.sortWithinPartitions(*partition_cols, *sort_cols)
+    w = df.write.mode(mode)
+    if partition_cols:
+        w = w.partitionBy(*partition_cols)
+    w.parquet(path)

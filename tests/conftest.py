@@ -18,3 +18,15 @@ def spark():
 def rows(df, *cols):
     cols = cols or df.columns
     return sorted([tuple(r[c] for c in cols) for r in df.collect()], key=lambda t: tuple(str(x) for x in t))
+
+
+def plan_text(df, execute=True):
+    """The physical plan as printed by the public ``explain()`` (final AQE plan once executed)."""
+    import contextlib
+    import io
+    if execute:
+        df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()

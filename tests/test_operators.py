@@ -24,7 +24,8 @@ def test_latest_by_last_load_wins_and_null_first(spark):
 
 def test_dedup_plans_window_group_limit(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("t"))
-    plan = latest_by(df, "k", [F.col("t").desc()])._jdf.queryExecution().executedPlan().toString()
+    from conftest import plan_text
+    plan = plan_text(latest_by(df, "k", [F.col("t").desc()]))
     assert "WindowGroupLimit" in plan
 
 
@@ -49,7 +50,8 @@ def test_rolling_distinct_hot_player_and_no_nested_loop(spark):
     a = spark.createDataFrame(hot + cold, "player_id string, activity_date date")
     out = rolling_distinct(a, "activity_date", "player_id", 7, "wau")
     assert rows(out) == rows(rolling_distinct(a, "activity_date", "player_id", 7, "wau", "theta"))
-    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+    from conftest import plan_text
+    assert "NestedLoop" not in plan_text(out)
 
 
 def test_retention_is_exact_day(spark):

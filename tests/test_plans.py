@@ -9,8 +9,8 @@ from gamelake.sources.seeds import seed
 
 
 def _plan(df):
-    df.collect()  # final adaptive plan
-    return df._jdf.queryExecution().executedPlan().toString()
+    from conftest import plan_text
+    return plan_text(df)
 
 
 def test_dau_mau_has_no_nested_loop_and_prunes_columns(spark, tmp_path):
