@@ -18,6 +18,7 @@ import sys
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "tests"))
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -93,8 +94,10 @@ def main() -> None:
 
     # alternative physical forms of the same results
     act = m.int_player_daily_activity
-    for method in ("coverage", "explode", "theta"):
+    from brute import rolling_distinct_theta
+    for method in ("coverage", "explode"):
         timed(f"rolling_distinct_30d_{method}", lambda: rolling_distinct(act, "activity_date", "player_id", 30, "mau", method))
+    timed("rolling_distinct_30d_theta", lambda: rolling_distinct_theta(act, "activity_date", "player_id", 30, "mau"))
     mmr = m.stg_mmr_updates
     timed("dedup_row_number", lambda: latest_by(mmr, "player_id", [F.col("event_timestamp").desc_nulls_first(),
                                                                    F.col("event_id").desc()]))

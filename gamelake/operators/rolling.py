@@ -20,9 +20,9 @@ def rolling_distinct(activity: DataFrame, date_col: str, id_col: str, days: int,
     """Distinct ``id_col`` over the trailing ``days`` days (inclusive) for each date
     that has activity. Returns (date_col, out_col).
 
-    method: ``coverage`` (default, linear), ``explode`` (each pair repeated ``days``
-    times, simpler, N-fold rows) or ``theta`` (range join, for tests only: it plans
-    as a nested loop).
+    method: ``coverage`` (default, linear) or ``explode`` (each pair repeated ``days``
+    times, simpler, N-fold rows). The naive range-join form lives in the tests as a
+    brute-force reference only: it plans as a nested loop.
     """
     pairs = activity.select(date_col, id_col).where(F.col(id_col).isNotNull()).distinct()
     dates = pairs.select(date_col).distinct()
@@ -32,13 +32,6 @@ def rolling_distinct(activity: DataFrame, date_col: str, id_col: str, days: int,
             id_col)
         counts = exploded.groupBy(date_col).agg(F.countDistinct(id_col).alias(out_col))
         return dates.join(counts, date_col, "inner")
-    if method == "theta":
-        a = pairs.alias("a")
-        d = dates.alias("d")
-        j = d.join(a, (F.col(f"a.{date_col}") >= F.date_sub(F.col(f"d.{date_col}"), days - 1))
-                   & (F.col(f"a.{date_col}") <= F.col(f"d.{date_col}")))
-        return j.groupBy(F.col(f"d.{date_col}").alias(date_col)).agg(
-            F.countDistinct(F.col(f"a.{id_col}")).alias(out_col))
     if method != "coverage":
         raise ValueError(method)
     w = Window.partitionBy(id_col).orderBy(date_col)
