@@ -143,3 +143,42 @@ def scd2_apply(current: DataFrame | None, incoming: DataFrame, key: str, check_c
         .withColumn("valid_to", as_of.cast("timestamp_ntz")).withColumn("is_current", F.lit(False))
     fresh = opened(j.where(has_i & (~has_o | changed)).select(*[F.col(f"i_{c}").alias(c) for c in cols]))
     return history.unionByName(keep_open).unionByName(closed).unionByName(fresh)
+
+
+def materialize(spark: SparkSession, df: DataFrame, name: str, mode: str = "table", path: str | None = None,
+                key: list[str] | str | None = None, partition: str | None = None) -> DataFrame:
+    """Materialise a model as a view, a table or an incremental table (SRC-6).
+
+    ``view``: a temp view, recomputed on use. ``table``: full rewrite at ``path``
+    (clustered by ``partition`` when given), read back so consumers start from storage.
+    ``incremental``: ``df`` is the new batch; it is upserted by ``key`` into the touched
+    ``partition`` values of the table at ``path``. Returns the stored table.
+    """
+    from gamelake.sources.events import write_clustered
+    if mode == "view":
+        df.createOrReplaceTempView(name)
+        return spark.table(name)
+    path = path or scratch_path(spark, "tables", name)
+    if mode == "table":
+        write_clustered(df, path, [partition] if partition else None)
+    elif mode == "incremental":
+        if key is None or partition is None:
+            raise ValueError("incremental materialisation needs key and partition")
+        merge_into_partitions(spark, df, path, key, partition)
+    else:
+        raise ValueError(mode)
+    return spark.read.parquet(path)
+
+
+def incremental_load(spark: SparkSession, raw: DataFrame, build, path: str, key: str = "event_id",
+                     ts_col: str = "event_timestamp", lookback_days: int = 3) -> DataFrame:
+    """One run of an incremental staging model: bound the bronze scan by the target's
+    load-time high-water mark minus the look-back, build the batch, and upsert it into
+    the event-date partitions of the target (SNK-1 + FLT-6). The first run loads all."""
+    try:
+        target = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - no table yet
+        target = None
+    batch = build(incremental_filter(raw, target, "load_ts", lookback_days))
+    batch = batch.withColumn("event_date", F.to_date(ts_col))
+    return materialize(spark, batch, "incremental", "incremental", path, key, "event_date")

@@ -367,7 +367,15 @@ def _ndjson_scan(spark, sf):
 
 @register("materialize")
 def _materialize(spark, sf):
-    return models(spark, sf, materialize=True).int_player_daily_activity
+    """Two runs of the incremental staging load: rows loaded up to a cutoff, then a
+    look-back run; the stored table must equal a full rebuild."""
+    from gamelake.operators.incremental import incremental_load
+    from gamelake.plans.staging import stg_sessions
+    raw = models(spark, sf).raw["session_event"]
+    cutoff = F.timestamp_add("DAY", F.lit(-5), _max(raw, "load_ts"))
+    path = _sink_path(spark, "stg_sessions_incremental")
+    incremental_load(spark, raw.where(F.col("load_ts") < cutoff), stg_sessions, path)
+    return incremental_load(spark, raw, stg_sessions, path).select(*SESSION_COLS)
 
 
 @register("clustered_write")

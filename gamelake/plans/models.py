@@ -44,9 +44,8 @@ class Models:
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         if not self.materialize:
             return df
-        path = scratch_path(self.spark, "tables", self._run, name)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        from gamelake.operators.incremental import materialize
+        return materialize(self.spark, df, name, "table", scratch_path(self.spark, "tables", self._run, name))
 
     def seed(self, name: str) -> DataFrame:
         return seed(self.spark, name)
