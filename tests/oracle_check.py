@@ -47,6 +47,21 @@ def canon(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN"}
+
+
+def type_diffs(sdf, con, sql):
+    """Columns whose Spark type does not map to the DuckDB oracle's type."""
+    d = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = []
+    for f in sdf.schema.fields:
+        t = f.dataType.simpleString()
+        if d.get(f.name) != SPARK_TO_DUCK.get(t, t.upper()):
+            out.append(f"{f.name}: {t} vs {d.get(f.name)}")
+    return out
+
+
 def duck(sf_dir):
     import duckdb
     con = duckdb.connect()
@@ -90,12 +105,15 @@ def main(argv):
             bad += 1
             continue
         ok_cols = sorted(scols) == sorted(dcols)
+        tdiff = type_diffs(sdf, con, ors[k]) if ok_cols else []
         ok_rows = len(srows) == len(drows)
         ok_vals = ok_cols and canon(scols, srows) == canon(dcols, drows)
         status = "OK" if (ok_cols and ok_rows and ok_vals) else "MISMATCH"
         bad += status != "OK"
         print(f"{k:32s} {status:8s} rows={len(srows)}/{len(drows)} cols={'ok' if ok_cols else 'DIFF'} "
-              f"vals={'ok' if ok_vals else 'DIFF'} {ts:.1f}s")
+              f"vals={'ok' if ok_vals else 'DIFF'} types={'ok' if not tdiff else 'DIFF'} {ts:.1f}s")
+        if tdiff:
+            print("   types:", tdiff)
         if not ok_cols:
             print("   spark:", sorted(scols), "\n   duck: ", sorted(dcols))
         elif not ok_vals:
