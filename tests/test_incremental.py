@@ -91,3 +91,22 @@ def test_scd2_versions_and_null_safe_compare(spark):
     h4 = scd2_apply(h3, s3, "player_id", ["current_mmr", "mmr_segment"], t("2024-01-04 00:00:00"))
     assert h4.count() == h3.count()
     assert h3.where("is_current").groupBy("player_id").count().where("count > 1").count() == 0
+
+
+def test_incremental_load_is_idempotent_and_picks_up_late_rows(spark):
+    from gamelake.operators.incremental import incremental_load
+    from gamelake.plans.staging import stg_sessions
+    path = scratch_path(spark, "test-incr", uuid.uuid4().hex)
+    mk = lambda eid, ts, load: (f'{{"event_id":"{eid}","timestamp":"{ts}","player_id":"p","action":"login"}}', "f", load)
+    data = [mk("1", "2024-01-01T10:00:00Z", "2024-01-01 10:05:00"), mk("2", "2024-01-02T10:00:00Z", "2024-01-02 10:05:00")]
+    raw = lambda d: spark.createDataFrame(d, "j string, filename string, load_ts string").select(
+        F.parse_json("j").alias("raw_data"), "filename", F.col("load_ts").cast("timestamp_ntz").alias("load_ts"))
+    incremental_load(spark, raw(data), stg_sessions, path)
+    incremental_load(spark, raw(data), stg_sessions, path)              # same input again: no change
+    assert spark.read.parquet(path).count() == 2
+    late = data + [mk("3", "2023-12-31T23:00:00Z", "2024-01-02 12:00:00"),   # event 2 days old, loaded now
+                   mk("1", "2024-01-01T10:00:30Z", "2024-01-02 12:00:01")]   # re-delivered, last load wins
+    out = incremental_load(spark, raw(late), stg_sessions, path)
+    got = rows(out, "event_id", "event_timestamp")
+    assert got == [("1", dt.datetime(2024, 1, 1, 10, 0, 30)), ("2", dt.datetime(2024, 1, 2, 10, 0)),
+                   ("3", dt.datetime(2023, 12, 31, 23, 0))]

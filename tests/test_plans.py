@@ -43,3 +43,13 @@ def test_date_partition_filter_prunes(spark, tmp_path):
     q = spark.read.parquet(str(tmp_path / "t")).where(F.col("event_date") >= "2024-01-04")
     p = _plan(q)
     assert "PartitionFilters: [isnotnull(event_date" in p
+
+
+def test_variant_paths_are_pushed_into_the_bronze_scan(spark, tmp_path):
+    from gamelake.plans.staging import stg_sessions
+    raw = spark.sql("""select parse_json(j) raw_data, 'f' filename, timestamp_ntz'2024-01-01 00:00:00' load_ts from values
+        ('{"event_id":"1","timestamp":"2024-01-01T00:00:00Z","player_id":"p","action":"login","big":"xxxxxxxx"}') as t(j)""")
+    raw.write.parquet(str(tmp_path / "bronze"))
+    p = _plan(stg_sessions(spark.read.parquet(str(tmp_path / "bronze"))).select("event_id", "action"))
+    scan = [l for l in p.splitlines() if "ReadSchema" in l][0]
+    assert "raw_data:struct<" in scan and "variant" not in scan.split("ReadSchema")[1].split("raw_data:struct")[0]
