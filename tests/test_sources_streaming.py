@@ -73,3 +73,25 @@ def test_stream_dedup_keeps_first_arrival(spark):
          .trigger(availableNow=True).start(f"{base}/out"))
     q.awaitTermination()
     assert spark.read.parquet(f"{base}/out").count() == 2
+
+
+def test_sink_caps_rows_per_file_and_spreads_a_hot_hour(spark):
+    import glob
+    rows_ = [(f'{{"event_type":"session_event","event_id":"{i}","timestamp":"2024-01-01T05:00:{i % 60:02d}Z"}}', "f", None)
+             for i in range(300)]
+    raw = bronze(spark.createDataFrame(rows_, "j string, filename string, load_ts timestamp"), payload="j")
+    out = scratch_path(spark, "t-sink-hot", uuid.uuid4().hex)
+    write_events(raw, out, max_rows=50)
+    files = glob.glob(f"{out}/event_type=session_event/yyyy=2024/mm=01/dd=01/hh=05/*.txt")
+    counts = [sum(1 for _ in open(f)) for f in files]
+    assert sum(counts) == 300 and max(counts) <= 50 and len(files) >= 6
+
+
+def test_read_seed_uses_declared_schema(spark):
+    from gamelake.sources.seeds import SEED_SCHEMAS, read_seed
+    path = scratch_path(spark, "t-seed", uuid.uuid4().hex)
+    os.makedirs(path)
+    with open(f"{path}/seed_maps.csv", "w") as f:
+        f.write("map_id,map_name,realm,map_size\nm1,A,R,large\nm2,B,R,small\n")
+    df = read_seed(spark, f"{path}/seed_maps.csv", SEED_SCHEMAS["seed_maps"])
+    assert [c for c, _ in df.dtypes] == ["map_id", "map_name", "realm", "map_size"] and df.count() == 2
