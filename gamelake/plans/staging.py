@@ -35,9 +35,17 @@ def _int(path: str, v: Column | None = None) -> Column:
     return F.round(vget(path, "double", v)).cast("int")
 
 
-def _dedup(df: DataFrame, key: str = "event_id") -> DataFrame:
-    return latest_by(df.where(F.col(key).isNotNull()), key,
-                     [F.col("load_ts").desc_nulls_first(), F.col("filename").desc_nulls_first()])
+def _dedup(raw: DataFrame, key_path: str = "$.event_id") -> DataFrame:
+    """Last load wins per key, applied to the bronze rows before the typed projection.
+
+    The key is read from the payload; rows without it are dropped (the staging NULL-key
+    filter). Deduplicating first shuffles the compact VARIANT binary instead of the
+    wide typed rows (nested arrays of structs), and only winners are parsed.
+    """
+    k = vget(key_path, "string")
+    keyed = raw.withColumn("_key", k).where(F.col("_key").isNotNull())
+    return latest_by(keyed, "_key",
+                     [F.col("load_ts").desc_nulls_first(), F.col("filename").desc_nulls_first()]).drop("_key")
 
 
 SURVIVOR_TYPE = ("array<struct<player_id string, platform_player_id string, character_id string, escaped boolean, "
@@ -66,6 +74,7 @@ def _survivors() -> Column:
 
 
 def stg_matches(raw: DataFrame) -> DataFrame:
+    raw = _dedup(raw)
     parsed = raw.select(
         vget("$.event_id", "string").alias("event_id"),
         vget("$.match_id", "string").alias("match_id"),
@@ -82,10 +91,11 @@ def stg_matches(raw: DataFrame) -> DataFrame:
         _survivors().alias("survivors"),
         "filename", "load_ts",
     )
-    return _dedup(parsed)
+    return parsed
 
 
 def stg_sessions(raw: DataFrame) -> DataFrame:
+    raw = _dedup(raw)
     parsed = raw.select(
         vget("$.event_id", "string").alias("event_id"),
         ts().alias("event_timestamp"),
@@ -97,10 +107,11 @@ def stg_sessions(raw: DataFrame) -> DataFrame:
         vget("$.client_version", "string").alias("client_version"),
         "filename", "load_ts",
     )
-    return _dedup(parsed)
+    return parsed
 
 
 def stg_store_transactions(raw: DataFrame) -> DataFrame:
+    raw = _dedup(raw)
     parsed = raw.select(
         vget("$.event_id", "string").alias("event_id"),
         ts().alias("event_timestamp"),
@@ -113,11 +124,12 @@ def stg_store_transactions(raw: DataFrame) -> DataFrame:
         vget("$.amount_usd", "decimal(10,2)").alias("amount_usd"),
         "filename", "load_ts",
     )
-    return _dedup(parsed)
+    return parsed
 
 
 def stg_mmr_updates(raw: DataFrame) -> DataFrame:
     """``match_id`` is read but never emitted by producers, so it is NULL in practice."""
+    raw = _dedup(raw)
     parsed = raw.select(
         vget("$.event_id", "string").alias("event_id"),
         ts().alias("event_timestamp"),
@@ -129,11 +141,12 @@ def stg_mmr_updates(raw: DataFrame) -> DataFrame:
         vget("$.role", "string").alias("role"),
         "filename", "load_ts",
     )
-    return _dedup(parsed)
+    return parsed
 
 
 def stg_players(raw: DataFrame) -> DataFrame:
     """Latest registration per platform player id (the first linked account's id)."""
+    raw = _dedup(raw, "$.platform_accounts[0].platform_player_id")
     parsed = raw.select(
         vget("$.platform_accounts[0].platform_player_id", "string").alias("player_id"),
         vget("$.bhvr_id", "string").alias("bhvr_id"),
@@ -143,10 +156,11 @@ def stg_players(raw: DataFrame) -> DataFrame:
         vget("$.region", "string").alias("region"),
         "filename", "load_ts",
     )
-    return _dedup(parsed, key="player_id")
+    return parsed
 
 
 def stg_progression(raw: DataFrame) -> DataFrame:
+    raw = _dedup(raw)
     parsed = raw.select(
         vget("$.event_id", "string").alias("event_id"),
         ts().alias("event_timestamp"),
@@ -158,7 +172,7 @@ def stg_progression(raw: DataFrame) -> DataFrame:
         (_int("$.value_after") - _int("$.value_before")).alias("value_change"),
         "filename", "load_ts",
     )
-    return _dedup(parsed)
+    return parsed
 
 
 def extract(df: DataFrame, spec: dict[str, tuple[str, str]], keep: list[str] | None = None) -> DataFrame:
