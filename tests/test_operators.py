@@ -71,3 +71,21 @@ def test_exact_median_matches_interpolation(spark):
     df = spark.createDataFrame(data, "g string, v int")
     got = dict((r.g, r.m) for r in exact_percentile(df, ["g"], "v", 0.5, "m").collect())
     assert got == {"g": 2.5, "h": 5.0}
+
+
+def test_session_metrics_hot_session_one_row_per_login(spark):
+    from gamelake.plans.intermediate import int_session_metrics
+    base = dt.datetime(2024, 1, 1, 10, 0, 0)
+    data = []
+    for i in range(400):  # one hot session: 200 logins and 200 logouts
+        data.append((f"e{i}", base + dt.timedelta(seconds=i * 30), "p1", "hot", "login" if i % 2 == 0 else "logout"))
+    data.append(("x1", base, "p2", "cold", "login"))  # no logout: duration 0
+    s = spark.createDataFrame(data, "event_id string, event_timestamp timestamp_ntz, player_id string, session_id string, "
+                                    "action string").withColumn("platform", F.lit("steam")).withColumn(
+        "region", F.lit("eu")).withColumn("client_version", F.lit("1"))
+    m = int_session_metrics(s)
+    assert m.count() == 201
+    hot = m.where("session_id = 'hot'").select("logout_at", "event_count").distinct().collect()
+    assert len(hot) == 1 and hot[0].event_count == 400 and hot[0].logout_at == base + dt.timedelta(seconds=399 * 30)
+    cold = m.where("session_id = 'cold'").first()
+    assert (cold.session_duration_seconds, cold.actions_per_minute) == (0, 0.0)
