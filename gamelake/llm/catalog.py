@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamelake.llm import chat_format, quality_rules, sharding, url_filters
+from gamelake.llm import chat_format, near_dedup, quality_rules, sharding, url_filters
 from gamelake.llm.tables import table
 
 N_SHARDS = 40
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 2-word shingles, similarity 0.8."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, pct=80)
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted, read back and digested."""
     said = "</s>[INST] ok [/INST]"
@@ -49,6 +54,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op3_chat_format": op3_chat_format,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
