@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamelake.llm import chat_format, near_dedup, quality_rules, sharding, url_filters
+from gamelake.llm import chat_format, decontaminate, near_dedup, passages, quality_rules, sharding, url_filters
 from gamelake.llm.tables import table
 
 N_SHARDS = 40
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that contains a benchmark item, with the item."""
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 2-word shingles, similarity 0.8."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, pct=80)
@@ -41,6 +46,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "template")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte ranges of passages that repeat an earlier document, one row a range."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 40 shards of near equal bytes by virtual slots.
 
@@ -54,10 +64,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_chat_format": op3_chat_format,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_sharding": op10_sharding,
 }
 

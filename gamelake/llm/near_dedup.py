@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from gamelake.llm import textvec
 from gamelake.llm.components import components
-from gamelake.llm.tables import stored
+from gamelake.llm.tables import joined_ids, stored
 
 BINS, ROWS = 128, 4
 SMALL_BUCKET = 16
@@ -102,9 +102,9 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, pct: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets reach the similarity."""
     asked = pairs.select(F.col("a").alias("c1")).unionByName(pairs.select(F.col("b").alias("c1"))).distinct()
-    texts = classes.join(asked, "c1").select("any_id").distinct().join(
-        docs.select(F.col("doc_id").alias("any_id"), "text"), "any_id")
     # An id that occurs twice brings texts of other classes, which no pair asks for.
+    ids = classes.join(asked, "c1").select(F.col("any_id").alias("doc_id")).distinct()
+    texts = joined_ids(docs.select("doc_id", "text"), ids, "left_semi")
     sets = stored(_sets(texts, shingle).dropDuplicates(["c1"]), "sets")
     left = sets.select(F.col("c1").alias("a"), F.col("set").alias("sa"))
     right = sets.select(F.col("c1").alias("b"), F.col("set").alias("sb"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +17,26 @@ SPACE = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package's code to the Python workers, once a Spark application.
+
+    Workers unpickle functions by module name, so they need the package even where the
+    launcher did not put it on their path.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        made = tempfile.mkdtemp(prefix="gamelake-code-")
+        sc.addPyFile(shutil.make_archive(os.path.join(made, "gamelake_code"), "zip", root, "gamelake"))
+        _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One input table; also makes sure that the workers have the code."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -44,3 +66,19 @@ def words(text: Column) -> Column:
 def training_row(doc_id: Column) -> Column:
     """Rows whose label may be learned: crc32 of the id as text, mod 5, is not 0."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 != 0, F.lit(False))
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def joined_ids(docs: DataFrame, side: DataFrame, how: str, on: str = "doc_id") -> DataFrame:
+    """Documents joined with a narrow table of ids.
+
+    The table is counted first: up to ``BROADCAST_ROWS`` rows it is broadcast, so the texts
+    stay where they are; beyond, it is a plain equi-join that AQE splits when skewed.
+    """
+    side = stored(side, "ids")
+    few = side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    side = side.withColumnRenamed(on, "__id")
+    joined = docs.join(F.broadcast(side) if few else side, docs["doc_id"] == F.col("__id"), how)
+    return joined.drop("__id")
