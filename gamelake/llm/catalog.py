@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamelake.llm import chat_format, decontaminate, near_dedup, passages, quality_rules, sharding, url_filters
+from gamelake.llm import chat_format, decontaminate, near_dedup, passages, pieces, quality_rules, sharding, url_filters
 from gamelake.llm.tables import table
 
 N_SHARDS = 40
@@ -33,6 +33,12 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.prefix_examples(turns))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of the public 32k model; ``exact``: decoding gave the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encoded_documents(docs).select("doc_id", "n_pieces", "exact", "pieces")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word rules of every document and the verdict of its host (``source``)."""
     return quality_rules.filter_by_host(table(spark, sf_dir, "documents")).select(
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_chat_format": op3_chat_format,
+    "op4_sentencepiece": op4_sentencepiece,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
     "op8_substring_dedup": op8_substring_dedup,

@@ -77,6 +77,14 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         a = b
 
 
+def range_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of every range, from one running sum over all bytes."""
+    up, down = _power(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * up, out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     """The words of the texts that lie one after the other in ``data``."""
     n = len(offsets) - 1
@@ -91,10 +99,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     before[offsets[:-1][offsets[:-1] < len(data)]] = True
     after[offsets[1:][offsets[1:] > 0] - 1] = True
     start, end = np.flatnonzero(~space & before), np.flatnonzero(~space & after) + 1
-    up, down = _power(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up, out=sums[1:])
-    h = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    h = range_hash(data, start, end)
     return Words(n, data, offsets, np.searchsorted(offsets, start, "right") - 1, start, end, h)
 
 
