@@ -6,8 +6,8 @@ wildcard. Sibling branches whose labelled block rates do not differ by more than
 sampling noise are merged. A template is rejected when the smoothed share of blocked
 rows among its labelled rows reaches ``MIN_PURITY``. Labels come from the rules.
 
-Hot hosts: sums combine before the shuffle, and a host's rows are spread over the keys
-(host, path); the remaining joins are plain equi-joins that AQE splits when skewed.
+Hot hosts: sums combine before the shuffle, a host's rows are spread over the keys
+(host, path), and its wildcard nodes are joined with a salt on both sides.
 
 Cases: a null url, or one without ``://``, has an empty host and path and no label;
 repeated urls count as often as they occur; ties between rules of equal length block;
@@ -36,6 +36,7 @@ MAX_REPEAT = 3.0        # rows a child, above which children are literals
 PRIOR, PRIOR_ROWS = 0.5, 4.0
 MIN_PURITY = 0.8
 MERGE_Z = 2.0
+SALTS = 16
 WILD, TAIL = "*", "**"
 
 
@@ -80,11 +81,13 @@ def templates(paths: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
                  .agg(F.count("*").alias("kids"), F.sum("n").alias("rows")))
         wild = nodes.where((F.col("kids") >= MIN_CHILDREN)
                            & (F.col("rows") <= MAX_REPEAT * F.col("kids"))).withColumn("wild", F.lit(True))
-        t = (t.join(wild.select("h", "t", "wild"), (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")),
-                    "left")
+        wild = wild.select("h", "t", "wild", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        own_salt = F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int")
+        t = (t.join(wild, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t"))
+                    & (own_salt == F.col("salt")), "left")
              .withColumn("template", F.when(s.isNull(), F.col("template")).otherwise(
                  F.concat("template", F.lit("/"), F.when(F.col("wild"), F.lit(WILD)).otherwise(s))))
-             .drop("h", "t", "wild"))
+             .drop("h", "t", "wild", "salt"))
     return t.withColumn("template", F.when(F.size("segs") > max_depth, F.concat("template", F.lit("/" + TAIL)))
                         .otherwise(F.col("template"))).drop("segs")
 
