@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamelake.llm import chat_format, decontaminate, near_dedup, passages, pieces, quality_rules, sharding, url_filters
-from gamelake.llm.tables import table
+from gamelake.llm import (chat_format, decontaminate, near_dedup, passages, pieces, quality_model, quality_rules,
+                          sharding, toxicity, url_filters)
+from gamelake.llm.tables import table, training_row
 
 N_SHARDS = 40
 
@@ -39,6 +40,15 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_documents(docs).select("doc_id", "n_pieces", "exact", "pieces")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of training rows."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model, ["doc_id"]).select(
+        "doc_id", (~training_row(F.col("doc_id"))).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word rules of every document and the verdict of its host (``source``)."""
     return quality_rules.filter_by_host(table(spark, sf_dir, "documents")).select(
@@ -57,6 +67,15 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels of training rows."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model.learn(docs, table(spark, sf_dir, "labels"))
+    return quality_model.scored(docs, model, ["doc_id"]).select(
+        "doc_id", (~training_row(F.col("doc_id"))).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 40 shards of near equal bytes by virtual slots.
 
@@ -74,9 +93,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_chat_format": op3_chat_format,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
 }
 

@@ -147,5 +147,5 @@ def contained_items(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, p
 def clean_documents(docs: DataFrame, items: DataFrame, **more) -> DataFrame:
     """The documents that contain no item."""
     leaks = stored(contained_items(docs, items, **more).select("doc_id").distinct(), "leaks")
-    leaks = leaks.select(F.col("doc_id").alias("leaked"))
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
+    leaks = leaks.select(F.col("doc_id").alias("__leaked"))
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(F.col("__leaked")), "left_anti")

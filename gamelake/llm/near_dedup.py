@@ -183,3 +183,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, pct: int = 80) -> DataFra
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
         F.when(F.col("n_shingles") > 0, F.col("c1")).alias("class_id"))
+
+
+def kept_documents(docs: DataFrame, shingle: int = 5, pct: int = 80) -> DataFrame:
+    """One document of each group, the one with the smallest id.
+
+    Rows that share an id are one document, of which one row stays; rows without an id stay.
+    """
+    rows = near_duplicates(docs, shingle, pct).where("doc_id IS NOT NULL")
+    ids = stored(rows.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "groups")
+    left = joined_ids(docs, ids.where("NOT kept").select("doc_id"), "left_anti")
+    many = ids.where("kept AND n > 1").select("doc_id")
+    if not many.take(1):
+        return left
+    one = joined_ids(left, many, "left_semi").dropDuplicates(["doc_id"])
+    return joined_ids(left, many, "left_anti").unionByName(one)

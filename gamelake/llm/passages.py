@@ -41,6 +41,7 @@ SHINGLE, PCT = 5, 80
 REACH = 4
 MIN_WORDS = 16
 RECALL = 0.95
+SPANS = "__spans"
 
 
 def bands(recall: float = RECALL, pct: int = PCT) -> int:
@@ -192,15 +193,12 @@ def spans(repeats: DataFrame) -> DataFrame:
 
 def remove_passages(docs: DataFrame, **more) -> DataFrame:
     """The documents with their repeated passages cut out; other columns stay."""
-    cut = stored(spans(repeated_passages(docs, **more)).select(F.col("doc_id").alias("cut_id"), "spans"), "spans")
-    raw = F.encode("text", "utf-8")
-    part = F.transform("cuts", lambda s, i: F.substring(
-        raw, F.coalesce(F.get("cuts", i - 1)["stop"], F.lit(0)).cast("int") + 1,
-        (s["start"] - F.coalesce(F.get("cuts", i - 1)["stop"], F.lit(0))).cast("int")))
-    end = F.octet_length("text").cast("long")
-    both = joined_ids(docs, cut, "left", "cut_id").withColumn("cuts", F.when(F.col("spans").isNotNull(), F.concat(
-        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))),
-        F.array(F.struct(end.alias("start"), end.alias("stop"))))))
-    text = F.when(F.col("cuts").isNotNull(), F.aggregate(
-        part, F.lit("").cast("binary"), lambda a, x: F.concat(a, x)).cast("string")).otherwise(F.col("text"))
-    return both.withColumn("text", text).select(*docs.columns)
+    cut = stored(spans(repeated_passages(docs, **more)).withColumnRenamed("spans", SPANS), "spans")
+    raw, end = F.encode("text", "utf-8"), F.octet_length("text").cast("long")
+    # What lies between two spans, before the first and behind the last.
+    stops = F.concat(F.array(F.lit(0).cast("long")), F.transform(SPANS, lambda s: s["stop"]))
+    starts = F.concat(F.transform(SPANS, lambda s: s["start"]), F.array(end))
+    parts = F.zip_with(stops, starts, lambda a, b: F.substring(raw, a.cast("int") + 1, (b - a).cast("int")))
+    text = F.aggregate(parts, F.lit("").cast("binary"), lambda x, y: F.concat(x, y)).cast("string")
+    both = joined_ids(docs, cut, "left")
+    return both.withColumn("text", F.when(F.col(SPANS).isNotNull(), text).otherwise(F.col("text"))).drop(SPANS)

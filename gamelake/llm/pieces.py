@@ -356,8 +356,12 @@ def decode_pieces(df: DataFrame, trie: Trie, pieces: str = "pieces", out: str =
 
 
 def encoded_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """Documents with their pieces, decoded again: ``exact`` says that the text came back."""
+    """Documents with ``pieces`` and ``n_pieces``; ``exact``: decoding them gave the text back.
+
+    Input columns of these names are replaced.
+    """
     trie = build_trie(load_pieces(model))
-    both = decode_pieces(encode_texts(docs, trie), trie)
-    return both.select(*docs.columns, "pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
+    rest = [c for c in docs.columns if c not in ("pieces", "n_pieces", "exact", "decoded")]
+    both = decode_pieces(encode_texts(docs.select(*rest), trie), trie)
+    return both.select(*rest, "pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
                        F.col("decoded").eqNullSafe(F.col("text")).alias("exact"))

@@ -119,3 +119,10 @@ def test_empty_and_null_ids(spark):
     got = sorted(((r["doc_id"], r["component_id"]) for r in near_dedup.near_duplicates(df, 2).collect()), key=str)
     assert got == sorted([(None, 5), (5, 5), (None, None), (7, 7), (7, 5)], key=str)
     assert near_dedup.near_duplicates(df.limit(0), 2).count() == 0
+
+
+def test_kept_documents(spark):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "q"), (3, "q"), (None, "a b c d e f"), (4, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("kept", F.lit(7)).withColumn("n", F.lit(7))
+    got = sorted(((r["doc_id"], r["text"], r["kept"]) for r in near_dedup.kept_documents(df).collect()), key=str)
+    assert got == sorted([(d, t, 7) for d, t in [rows[0], rows[2], *rows[4:]]], key=str)

@@ -67,7 +67,7 @@ def test_many_equals_one(trie):
 
 
 def test_round_trip(spark, trie):
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "doc_id long, text string").withColumn("size", F.lit(1))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "doc_id long, text string").withColumn("pieces", F.lit(1))
     rows = pieces.encoded_documents(df).collect()
     assert len(rows) == len(ODD) and all(r["exact"] for r in rows)
     for r in rows:

@@ -82,7 +82,8 @@ def test_planted_passages(spark):
     docs += [(i, " ".join(text(150)) + "\n" + license_line) for i in clean]
     inner = " ".join(text(80))
     docs += [(len(docs), inner + "\n" + inner), (len(docs) + 1, None), (len(docs) + 2, ""), (None, docs[0][1])]
-    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("keys", F.lit(1)).repartition(3)
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("keys", F.lit(1)).withColumn(
+        "spans", F.lit("x")).repartition(3)
     hit = {}
     for r in passages.repeated_passages(df).collect():
         hit.setdefault(r["doc_id"], []).append(r)
@@ -90,7 +91,7 @@ def test_planted_passages(spark):
     assert not set(hit) - later
     assert len(later - set(hit)) <= 0.03 * len(later)
     out = {r["doc_id"]: r for r in passages.remove_passages(df).collect()}
-    assert len(out) == len(docs) and set(out[0].asDict()) == {"doc_id", "text", "keys"}
+    assert len(out) == len(docs) and set(out[0].asDict()) == {"doc_id", "text", "keys", "spans"}
     for d, t in docs:
         if d is None or d not in hit:
             assert out[d]["text"] == t
