@@ -42,7 +42,7 @@ def test_signature_densified():
     hits = 0
     for _ in range(200):
         s = np.unique(rng.integers(0, 1 << 63, 90, dtype=np.uint64) * np.uint64(2))
-        hits += bool((near_dedup.band_keys(s[:80]) == near_dedup.band_keys(np.sort(s[:72]))).any())
+        hits += bool((near_dedup.band_keys([s[:80]]) == near_dedup.band_keys([np.sort(s[:72])])).any())
     assert hits == 200
 
 
