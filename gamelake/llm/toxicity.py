@@ -10,8 +10,8 @@ logistic function of the sum over its clauses.
 
 The closed classes (targets, intents, harms, negators, reporting verbs) are the lists
 below; insults, as words or word beginnings, and the logistic function are learned from
-a sample of labelled training texts. A term counts once for each word before it, so that
-copies of one toxic text don't make its rare words look like insults.
+a sample of labelled training texts. In toxic texts a term counts once for each word before
+it, so that copies of one toxic text don't make its rare words look like insults.
 
 Cases: null and empty texts have no clause and score the function's value at 0; equal
 texts score alike; without a toxic or a clean training text nothing is learned and a
@@ -38,7 +38,7 @@ MAX_TERMS = 5_000       # size of the learned lexicon
 MIN_CONTEXTS = 5
 MIN_WEIGHT = 4.0
 PREFIXES = (4, 5, 6)
-WORD = r"[\p{L}']+"
+NO_WORD = r"[^\p{L}']+"
 
 INSULTS = {"idiot": 6.0, "moron": 6.0, "stupid": 5.0, "scum": 6.0, "loser": 5.0, "worthless": 5.0,
            "pathetic": 5.0, "trash": 4.0, "disgusting": 4.0, "clown": 4.0}
@@ -167,22 +167,26 @@ class Grammar:
         return total
 
 
-def _terms(texts: DataFrame) -> DataFrame:
-    """(term, prefix, toxic contexts, clean contexts): words and word beginnings.
-
-    A context is the word before; (term, context, label) counts once.
-    """
-    w = F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD})"), 1)
-    rows = texts.select("toxic", w.alias("w")).select(
-        "toxic", F.explode(F.array_distinct(F.transform("w", lambda x, i: F.struct(
-            x.alias("word"), F.coalesce(F.get("w", i - 1), F.lit("")).alias("context"))))).alias("t"))
-    rows = rows.select("toxic", "t.word", "t.context").distinct()
+def _forms(rows: DataFrame, *keep: str) -> DataFrame:
+    """Each row once for its word and once for each of the word's beginnings."""
     forms = F.array(F.struct(F.col("word").alias("term"), F.lit(False).alias("prefix")), *[
         F.when(F.length("word") >= n, F.struct(F.substring("word", 1, n).alias("term"), F.lit(True).alias("prefix")))
         for n in PREFIXES])
-    rows = rows.select("toxic", "context", F.explode(F.filter(forms, lambda f: f.isNotNull())).alias("f"))
-    return rows.select("toxic", "context", "f.*").distinct().groupBy("term", "prefix").agg(
-        F.count(F.when(F.col("toxic") == 1, 1)).alias("t"), F.count(F.when(F.col("toxic") == 0, 1)).alias("c"))
+    return rows.select(*keep, F.explode(F.filter(forms, lambda f: f.isNotNull())).alias("f")).select(*keep, "f.*")
+
+
+def _terms(texts: DataFrame) -> DataFrame:
+    """(term, prefix, t, c): words and word beginnings with their contexts in toxic and
+    their occurrences in clean texts; a context is the word before, and counts once."""
+    w = F.filter(F.split(F.lower("text"), NO_WORD), lambda x: x != "")
+    rows = texts.select("toxic", w.alias("w"))
+    toxic = rows.where("toxic = 1").select(F.explode(F.transform("w", lambda x, i: F.struct(
+        x.alias("word"), F.coalesce(F.get("w", i - 1), F.lit("")).alias("context")))).alias("x")).select("x.*")
+    toxic = (_forms(toxic.distinct(), "context").distinct().groupBy("term", "prefix")
+             .agg(F.count("*").alias("t")).where(F.col("t") >= MIN_CONTEXTS))
+    clean = rows.where("toxic = 0").select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    clean = _forms(clean, "n").groupBy("term", "prefix").agg(F.sum("n").alias("c"))
+    return toxic.join(clean, ["term", "prefix"], "left").withColumn("c", F.coalesce("c", F.lit(0)))
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
@@ -211,7 +215,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     if not n.get(0) or not n.get(1):
         return Model(Lexicon(dict(INSULTS), {}), 1.0, -1.5)
     prior = math.log(n[0] / n[1])
-    terms = _terms(texts).where(F.col("t") >= MIN_CONTEXTS).withColumn(
+    terms = _terms(texts).withColumn(
         "weight", F.log((F.col("t") + 0.5) / (F.col("c") + 0.5)) + prior).where(F.col("weight") >= MIN_WEIGHT)
     top = terms.orderBy(F.desc("weight"), "term", "prefix").limit(MAX_TERMS).collect()
     lexicon = Lexicon({r["term"]: r["weight"] for r in top if not r["prefix"]},
