@@ -48,6 +48,7 @@ FRESHNESS_SLA = {
     "store_transaction": (2, 4),
     "mmr_update": (2, 4),
     "player_registration": (4, 8),
+    "progression_event": (2, 4),
 }
 
 # retention offsets (days after the cohort date)

@@ -10,8 +10,9 @@ same table are not isolated from each other.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,55 +36,104 @@ def incremental_filter(src: DataFrame, target: DataFrame | None, col: str, lookb
     return src.where(F.col(col) >= F.timestamp_add("DAY", F.lit(-lookback_days), hwm))
 
 
+def read_table(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame | None:
+    """The stored table, or None when there is none yet. Any other failure is raised."""
+    r = spark.read.format(fmt)
+    try:
+        return (r.schema(schema) if schema is not None else r).load(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _same(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
+    """Null-safe equality of ``cols``; ``right`` carries them with the prefix ``_m_``."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(right[f"_m_{c}"])
+    return cond
+
+
+def _keyed(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"_m_{c}") for c in cols]).distinct()
+
+
 def merge_upsert(target: DataFrame, batch: DataFrame, key: list[str] | str) -> DataFrame:
-    """A batch row replaces the target row with the same key; new keys are appended."""
+    """A batch row replaces the target row with the same key; new keys are appended.
+
+    Keys compare null-safe, so a row whose key has a NULL part replaces its predecessor.
+    """
     key = [key] if isinstance(key, str) else list(key)
-    kept = target.join(batch.select(*key).distinct(), key, "left_anti")
+    keys = _keyed(batch, key)
+    kept = target.join(keys, _same(target, keys, key), "left_anti")
     return kept.unionByName(batch.select(*target.columns))
 
 
 def merge_into_partitions(spark: SparkSession, batch: DataFrame, path: str, key: list[str] | str,
-                          part_col: str, fmt: str = "parquet", search_days: int | None = 2) -> None:
+                          part_col: str, fmt: str = "parquet") -> DataFrame | None:
     """Upsert ``batch`` into a table partitioned by ``part_col`` rewriting only touched partitions.
 
-    Touched partitions are the batch's own plus those holding a replaced key (a
-    near-duplicate can move an event across midnight, so its old partition is
-    rewritten too). Replaced keys are searched only in date partitions within
-    ``search_days`` of the batch's dates (partition pruning; None searches the whole
-    table). The new content is staged under the shared checkpoint folder before the
-    overwrite, because a job cannot overwrite the files it is reading.
+    Returns the touched partition values (None for an empty batch), which is what models
+    on top have to refresh.
+
+    Touched partitions are the batch's own plus those that hold a replaced key, however
+    far away (an event can be delivered again with another date); the search reads the
+    key and partition columns of the whole table and nothing else. Keys and partition
+    values compare null-safe. The batch is computed once, into a staging table under the
+    shared checkpoint folder, and so is the new content, because a job cannot overwrite
+    the files it reads. Both staging tables belong to the target (one folder each,
+    overwritten by the next merge), so scratch space does not grow with the runs.
     """
     key = [key] if isinstance(key, str) else list(key)
+    schema = batch.schema
+    stage = scratch_path(spark, "merge-stage", hashlib.sha256(path.encode()).hexdigest()[:32])
+    batch.write.format(fmt).mode("overwrite").save(f"{stage}/batch")
+    batch = spark.read.format(fmt).schema(schema).load(f"{stage}/batch")
     if batch.isEmpty():  # e.g. the trailing no-data batch of a stateful stream
-        return
-    try:
-        target = spark.read.format(fmt).load(path)
-    except Exception:  # noqa: BLE001 - first load: no table yet
-        batch.write.format(fmt).partitionBy(part_col).mode("overwrite").save(path)
-        return
-    keys = batch.select(*key).distinct()
-    near = target
-    if search_days is not None:
-        lo = batch.select(F.min(part_col)).scalar()
-        hi = batch.select(F.max(part_col)).scalar()
-        near = target.where((F.col(part_col) >= F.date_sub(lo, search_days)) & (F.col(part_col) <= F.date_add(hi, search_days)))
-    moved = near.join(keys, key, "left_semi").select(part_col)
-    touched = batch.select(part_col).union(moved).distinct()
-    old = target.join(touched, part_col, "left_semi").join(keys, key, "left_anti")
-    new = old.unionByName(batch.select(*target.columns))
-    stage = scratch_path(spark, "merge-stage", uuid.uuid4().hex)
-    new.write.format(fmt).partitionBy(part_col).save(stage)
-    staged = spark.read.format(fmt).load(stage)
-    (staged.write.format(fmt).partitionBy(part_col).mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").save(path))
+        return None
+    target = read_table(spark, path, schema, fmt)
+    emptied: list[str] = []
+    if target is None:
+        touched = batch.select(part_col).distinct()
+        content, mode = batch, {}
+    else:
+        keys = _keyed(batch, key)
+        moved = target.join(keys, _same(target, keys, key), "left_semi").select(part_col)
+        touched = batch.select(part_col).union(moved).distinct()
+        parts = _keyed(touched, [part_col])
+        old = target.join(parts, _same(target, parts, [part_col]), "left_semi")
+        new = old.join(keys, _same(old, keys, key), "left_anti").unionByName(batch)
+        new.write.format(fmt).mode("overwrite").save(f"{stage}/content")
+        content, mode = spark.read.format(fmt).schema(schema).load(f"{stage}/content"), {"partitionOverwriteMode": "dynamic"}
+        # Partitions whose rows all moved elsewhere have no new content to overwrite them.
+        filled = _keyed(content, [part_col])
+        folder = target.select(part_col, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
+        gone = folder.join(parts, _same(folder, parts, [part_col]), "left_semi")
+        gone = gone.join(filled, _same(gone, filled, [part_col]), "left_anti")
+        emptied = [r["folder"] for r in gone.select("folder").distinct().collect()]
+    touched.write.format(fmt).mode("overwrite").save(f"{stage}/touched")
+    # One writer a partition, more where a partition is large: AQE splits by size.
+    (content.hint("rebalance", part_col).write.format(fmt).partitionBy(part_col)
+     .mode("overwrite").options(**mode).save(path))
+    for folder in emptied:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    return spark.read.format(fmt).schema(touched.schema).load(f"{stage}/touched")
+
+
+def first_touched(touched: DataFrame, col: str = "event_date") -> Column:
+    """The earliest touched date: everything that depends on it or on later ones is stale."""
+    return touched.select(F.min(col)).scalar()
 
 
 def refresh_dau_mau(target: DataFrame, daily_activity: DataFrame, since: Column, method: str = "coverage") -> DataFrame:
     """Incremental DAU/MAU equal to a full refresh (fixes D-3).
 
+    ``since`` is the earliest changed activity date (``first_touched`` of the merge).
     Dates from ``since`` on are recomputed from activity reaching back a full 30-day
-    window before ``since``; earlier target dates are kept. WAU/MAU at date t depend
-    only on activity up to t, so kept dates are final.
+    window before it; WAU/MAU at date t depend only on activity up to t, so earlier
+    target dates stand as long as no activity before ``since`` has changed.
     """
     from gamelake.plans.player import fct_dau_mau
     hist = daily_activity.where(F.col("activity_date") >= F.date_sub(since, 29))
@@ -91,6 +141,25 @@ def refresh_dau_mau(target: DataFrame, daily_activity: DataFrame, since: Column,
     return merge_upsert(target.where(F.col("metric_date") < since), fresh, "metric_date")
 
 
+def maintain_mart(spark: SparkSession, path: str, key: str, full: DataFrame, refresh, touched: DataFrame | None,
+                  touched_col: str = "event_date") -> DataFrame:
+    """One maintenance run of a stored mart with one row per ``key`` date (STR-4).
+
+    First run: the ``full`` model is stored. Later runs: ``refresh(target, since)`` gives
+    the mart with everything from the earliest touched date recomputed, and replaces the
+    stored one by way of a staging table. Nothing touched: nothing is written.
+    """
+    target = read_table(spark, path, full.schema)
+    if target is not None and touched is None:
+        return target
+    new = full if target is None else refresh(target, first_touched(touched, touched_col))
+    stage = scratch_path(spark, "mart-stage", hashlib.sha256(path.encode()).hexdigest()[:32])
+    new.select(*full.columns).write.mode("overwrite").parquet(stage)
+    staged = spark.read.schema(full.schema).parquet(stage)
+    staged.hint("rebalance", key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+    return spark.read.schema(full.schema).parquet(path)
+
+
 def refresh_daily_revenue(target: DataFrame, revenue_daily: DataFrame, since: Column) -> DataFrame:
     """Incremental daily revenue whose 7-row average equals a full refresh (D-3).
 
@@ -130,13 +199,13 @@ def scd2_apply(current: DataFrame | None, incoming: DataFrame, key: str, check_c
     cols = incoming.columns
     history = current.where(~F.col("is_current"))
     open_ = current.where(F.col("is_current"))
-    o = open_.select(*[F.col(c).alias(f"o_{c}") for c in open_.columns])
-    i = incoming.select(*[F.col(c).alias(f"i_{c}") for c in cols])
-    j = o.join(i, F.col(f"o_{key}") == F.col(f"i_{key}"), "full_outer")
+    o = open_.select(F.lit(True).alias("_o"), *[F.col(c).alias(f"o_{c}") for c in open_.columns])
+    i = incoming.select(F.lit(True).alias("_i"), *[F.col(c).alias(f"i_{c}") for c in cols])
+    j = o.join(i, F.col(f"o_{key}").eqNullSafe(F.col(f"i_{key}")), "full_outer")
     same = F.lit(True)
     for c in check_cols:
         same = same & F.col(f"o_{c}").eqNullSafe(F.col(f"i_{c}"))
-    has_o, has_i = F.col(f"o_{key}").isNotNull(), F.col(f"i_{key}").isNotNull()
+    has_o, has_i = F.col("_o").isNotNull(), F.col("_i").isNotNull()  # a NULL key is a key
     changed = has_o & has_i & ~same
     keep_open = j.where(has_o & (~has_i | same)).select(*[F.col(f"o_{c}").alias(c) for c in open_.columns])
     closed = j.where(changed).select(*[F.col(f"o_{c}").alias(c) for c in open_.columns]) \
@@ -175,10 +244,7 @@ def incremental_load(spark: SparkSession, raw: DataFrame, build, path: str, key:
     """One run of an incremental staging model: bound the bronze scan by the target's
     load-time high-water mark minus the look-back, build the batch, and upsert it into
     the event-date partitions of the target (SNK-1 + FLT-6). The first run loads all."""
-    try:
-        target = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet
-        target = None
+    target = read_table(spark, path)
     batch = build(incremental_filter(raw, target, "load_ts", lookback_days))
     batch = batch.withColumn("event_date", F.to_date(ts_col))
     return materialize(spark, batch, "incremental", "incremental", path, key, "event_date")

@@ -59,7 +59,8 @@ def retention_flags(cohort: DataFrame, activity: DataFrame, days: list[int], id_
                     cohort_col: str = "cohort_date", activity_col: str = "activity_date") -> DataFrame:
     """Per cohort member, one boolean per offset N: active exactly N days after cohort date (JN-4).
 
-    One equi-join on the id plus day-difference flags replaces one left join per offset.
+    One equi-join on the id plus day-difference flags replaces one left join per offset; an
+    id with several cohort dates gets the flags of each date on its own.
     The activity side is reduced to distinct (id, day) first, so even an id with a third
     of all events contributes at most one row per calendar day. Output: ``cohort`` rows
     plus ``retained_d{N}`` (never NULL).
@@ -68,8 +69,8 @@ def retention_flags(cohort: DataFrame, activity: DataFrame, days: list[int], id_
     c = cohort.select(id_col, cohort_col)
     diff = F.date_diff(F.col(activity_col), F.col(cohort_col))
     hits = (c.join(act, id_col, "inner").where(diff.isin(*days))
-            .groupBy(id_col).agg(*[F.max((diff == n).cast("int")).alias(f"retained_d{n}") for n in days]))
-    out = cohort.join(hits, id_col, "left")
+            .groupBy(id_col, cohort_col).agg(*[F.max((diff == n).cast("int")).alias(f"retained_d{n}") for n in days]))
+    out = cohort.join(hits, [id_col, cohort_col], "left")
     for n in days:
         out = out.withColumn(f"retained_d{n}", F.coalesce(F.col(f"retained_d{n}"), F.lit(0)) == 1)
     return out

@@ -117,9 +117,11 @@ def volume_anomaly(df: DataFrame, ts_col: str, as_of: Column, hours: int = 6, th
     ``days`` days (DQ-12, corrected form: slots are timestamp ranges, so a window that
     spans midnight is handled and the slot under test is not part of its baseline).
 
-    One pass with two conditional counts. Verdict row: recent_count, avg_7d_count,
-    ratio, threshold, status (OK / ANOMALY / NO_BASELINE).
+    One pass with two conditional counts over the rows of that period only. Verdict row:
+    recent_count, avg_7d_count, ratio, threshold, status (OK / ANOMALY / NO_BASELINE). A feed
+    without any row in the period is an anomaly.
     """
+    df = df.where(F.col(ts_col) >= F.timestamp_add("HOUR", F.lit(-(days * 24 + hours)), as_of))
     secs = F.unix_seconds(as_of.cast("timestamp")) - F.unix_seconds(F.col(ts_col).cast("timestamp"))
     day_back = F.floor(secs / 86400)
     in_slot = (secs >= 0) & ((secs - day_back * 86400) < hours * 3600)
@@ -131,7 +133,7 @@ def volume_anomaly(df: DataFrame, ts_col: str, as_of: Column, hours: int = 6, th
     return g.select(
         "recent_count", F.round(avg, 1).alias("avg_7d_count"), F.round(ratio, 4).alias("ratio"),
         F.lit(threshold).alias("threshold"),
-        F.when(ratio.isNull(), "NO_BASELINE").when(ratio >= threshold, "OK").otherwise("ANOMALY").alias("status"))
+        F.when(ratio.isNull(), F.when(F.col("recent_count") > 0, "NO_BASELINE").otherwise("ANOMALY")).when(ratio >= threshold, "OK").otherwise("ANOMALY").alias("status"))
 
 
 def schema_drift(spark: SparkSession, bronze: DataFrame, expected: list[str], since: Column | None = None) -> DataFrame:
@@ -158,9 +160,13 @@ def resolve_identity(df: DataFrame, id_col: str, registrations: DataFrame) -> Da
 
     ``registrations`` is bronze player_registration. Accounts are exploded to
     (platform_player_id, canonical_id) from the latest registration of each canonical
-    id; ``df`` gains ``canonical_id`` (NULL when the id is unknown).
+    id; an account claimed by several canonical ids belongs to the one loaded last
+    (``identity_conflicts`` lists them). ``df`` keeps its rows and gains ``canonical_id``
+    (NULL when the id is unknown).
     """
-    acc = account_map(registrations)
+    from gamelake.operators.dedup import latest_by
+    acc = latest_by(account_map(registrations), "platform_player_id",
+                    [F.col("load_ts").desc_nulls_last(), F.col("canonical_id").asc()])
     m = acc.select(F.col("platform_player_id").alias("_pid"), "canonical_id")
     return df.join(m, F.col(id_col) == F.col("_pid"), "left").drop("_pid")
 
@@ -175,8 +181,14 @@ def account_map(registrations: DataFrame) -> DataFrame:
         "load_ts", "filename")
     latest = latest_by(r.where(F.col("canonical_id").isNotNull()), "canonical_id",
                        [F.col("load_ts").desc_nulls_first(), F.col("filename").desc_nulls_first()])
-    return latest.select("canonical_id", F.explode("accounts").alias("a")).select(
-        "canonical_id", "a.platform", "a.platform_player_id", "a.display_name", "a.is_primary")
+    return latest.select("canonical_id", F.explode("accounts").alias("a"), "load_ts").select(
+        "canonical_id", "a.platform", "a.platform_player_id", "a.display_name", "a.is_primary", "load_ts")
+
+
+def identity_conflicts(registrations: DataFrame) -> DataFrame:
+    """Platform accounts that more than one canonical id claims."""
+    return (account_map(registrations).groupBy("platform_player_id")
+            .agg(F.countDistinct("canonical_id").alias("canonical_ids")).where(F.col("canonical_ids") > 1))
 
 
 def identity_name_mismatches(registrations: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def _max(df, col):
 def _json_extract(spark, sf):
     raw = models(spark, sf).raw["store_transaction"]
     return rounded(extract(raw, {"event_id": ("$.event_id", "string"), "currency": ("$.currency", "string"),
-                                 "amount": ("$.amount", "int"), "amount_usd": ("$.amount_usd", "decimal(10,2)")}),
+                                 "amount": ("$.amount", "bigint"), "amount_usd": ("$.amount_usd", "decimal(10,2)")}),
                    as_double=["amount_usd"])
 
 

@@ -36,8 +36,8 @@ def int_match_enriched(stg_matches: DataFrame, seed_killers: DataFrame, seed_sur
         F.col("s.platform_player_id").alias("survivor_platform_player_id"),
         F.col("s.character_id").alias("survivor_character_id"),
         F.col("s.escaped").alias("survivor_escaped"),
-        F.round("s.generators_completed").cast("int").alias("generators_completed"),
-        F.round("s.score").cast("int").alias("survivor_score"),
+        F.round("s.generators_completed").try_cast("bigint").alias("generators_completed"),
+        F.round("s.score").try_cast("bigint").alias("survivor_score"),
         F.col("s.perks").alias("survivor_perks"))
     k = seed_killers.select(F.col("character_id").alias("killer_character_id"), "killer_name",
                             F.col("power").alias("killer_power"))

@@ -101,10 +101,14 @@ def kpi_latest(m15: DataFrame, m20: DataFrame, m21: DataFrame, m14: DataFrame) -
 
 
 def match_global(m16: DataFrame, m18: DataFrame) -> DataFrame:
-    """Mean kill rate, total matches, killers and maps as (metric, value) rows (RPT-8)."""
-    a = m16.agg(F.avg("kill_rate").alias("avg_kill_rate"), F.sum("total_matches").cast("double").alias("total_matches"),
-                F.count(F.lit(1)).cast("double").alias("killers"))
-    b = m18.agg(F.count(F.lit(1)).cast("double").alias("maps"))
+    """Mean kill rate, total matches, killers and maps as (metric, value) rows (RPT-8).
+
+    The NULL killer and the NULL map are groups of the marts, but no killer and no map.
+    """
+    a = m16.agg(F.round(F.avg("kill_rate"), 3).alias("avg_kill_rate"),
+                F.sum("total_matches").cast("double").alias("total_matches"),
+                F.count("killer_character_id").cast("double").alias("killers"))
+    b = m18.agg(F.count("map_id").cast("double").alias("maps"))
     return (a.unpivot([], ["avg_kill_rate", "total_matches", "killers"], "metric", "value")
             .unionByName(b.unpivot([], ["maps"], "metric", "value")))
 
@@ -113,7 +117,7 @@ def killer_rates(m16: DataFrame, support: int = 10, k: int | None = None) -> Dat
     """Kill / escape rate per killer with at least ``support`` matches (RPT-9)."""
     r = m16.where(F.col("total_matches") >= support).select(
         F.coalesce("killer_name", "killer_character_id").alias("killer"), "killer_character_id",
-        "total_matches", "kill_rate", "escape_rate", "median_kills")
+        "total_matches", "kill_rate", "escape_rate", "avg_kills", "median_kills")
     order = [F.col("kill_rate").desc(), F.col("killer_character_id").asc()]
     return top_k(r, order, k) if k else r.orderBy(*order)
 
@@ -121,8 +125,10 @@ def killer_rates(m16: DataFrame, support: int = 10, k: int | None = None) -> Dat
 def map_rates(m18: DataFrame, support: int = 10) -> DataFrame:
     """Kill rate and rating per map with at least ``support`` matches (RPT-10)."""
     return m18.where(F.col("total_matches") >= support).select(
-        F.coalesce("map_name", "map_id", F.lit("unknown")).alias("map"), "map_id", "total_matches",
-        "kill_rate", "balance_rating").orderBy(F.col("kill_rate").desc())
+        F.coalesce("map_name", "map_id", F.lit("unknown")).alias("map"), "map_id",
+        F.coalesce("realm", F.lit("Unknown")).alias("realm"), "map_size", "total_matches", "kill_rate",
+        "balance_rating", F.round("avg_duration_seconds", 0).alias("avg_duration_sec")).orderBy(
+        F.col("kill_rate").desc(), F.col("map_id").asc_nulls_last())
 
 
 def perk_top(m17: DataFrame, role: str, support: int = 50, k: int = 20) -> DataFrame:
@@ -146,7 +152,7 @@ def revenue_series(m20: DataFrame, days: int | None = None) -> DataFrame:
         "revenue_date", "total_revenue_usd", "total_transactions", "total_unique_buyers",
         "cosmetic_revenue_usd", "dlc_revenue_usd", "rift_pass_revenue_usd", "auric_cells_revenue_usd",
         "revenue_7d_avg")
-    return period_delta(s, "revenue_date", ["total_revenue_usd", "total_transactions"])
+    return period_delta(s, "revenue_date", ["total_revenue_usd", "total_transactions", "revenue_7d_avg"])
 
 
 def revenue_breakdown(m20: DataFrame) -> DataFrame:

@@ -31,8 +31,11 @@ def ts(path: str = "$.timestamp", v: Column | None = None) -> Column:
 
 
 def _int(path: str, v: Column | None = None) -> Column:
-    """``::int`` rounds half away from zero in the warehouse (S-4): read as double, round."""
-    return F.round(vget(path, "double", v)).cast("int")
+    """``::int`` rounds half away from zero in the warehouse (S-4): read as double, round.
+
+    The warehouse type holds 38 digits; here a value beyond 64 bits becomes NULL.
+    """
+    return F.round(vget(path, "double", v)).try_cast("bigint")
 
 
 def _dedup(raw: DataFrame, key_path: str = "$.event_id") -> DataFrame:
@@ -40,12 +43,15 @@ def _dedup(raw: DataFrame, key_path: str = "$.event_id") -> DataFrame:
 
     The key is read from the payload; rows without it are dropped (the staging NULL-key
     filter). Deduplicating first shuffles the compact VARIANT binary instead of the
-    wide typed rows (nested arrays of structs), and only winners are parsed.
+    wide typed rows (nested arrays of structs), and only winners are parsed. Rows of one
+    file and load time are told apart by a hash of the payload, so that the winner does not
+    depend on the order of the input.
     """
     k = vget(key_path, "string")
     keyed = raw.withColumn("_key", k).where(F.col("_key").isNotNull())
     return latest_by(keyed, "_key",
-                     [F.col("load_ts").desc_nulls_first(), F.col("filename").desc_nulls_first()]).drop("_key")
+                     [F.col("load_ts").desc_nulls_first(), F.col("filename").desc_nulls_first(),
+                      F.xxhash64(F.to_json("raw_data"))]).drop("_key")
 
 
 SURVIVOR_TYPE = ("array<struct<player_id string, platform_player_id string, character_id string, escaped boolean, "
@@ -94,8 +100,9 @@ def stg_matches(raw: DataFrame) -> DataFrame:
     return parsed
 
 
-def stg_sessions(raw: DataFrame) -> DataFrame:
-    raw = _dedup(raw)
+def stg_sessions(raw: DataFrame, dedup: bool = True) -> DataFrame:
+    """Session events; ``dedup=False`` leaves deduplication to the caller (a stream)."""
+    raw = _dedup(raw) if dedup else raw
     parsed = raw.select(
         vget("$.event_id", "string").alias("event_id"),
         ts().alias("event_timestamp"),

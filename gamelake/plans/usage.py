@@ -118,10 +118,16 @@ def usage_cumulative(metering: DataFrame, as_of: Column, budget: float = 10.0) -
                     F.date_diff(end, F.to_date(as_of)).alias("days_left_in_month"))
 
 
-def usage_pivot(metering: DataFrame, warehouses: list[str]) -> DataFrame:
-    """Day x warehouse credits with an explicit value list, missing cells 0 (UC-8)."""
-    return (metering.groupBy(F.to_date("start_time").alias("usage_date"))
-            .pivot("warehouse_name", warehouses).agg(F.sum("credits_used")).fillna(0.0, subset=warehouses))
+def usage_pivot(metering: DataFrame, warehouses: list[str], as_of: Column | None = None, days: int = 30) -> DataFrame:
+    """Day x warehouse credits of the last ``days`` days, missing cells 0 (UC-8).
+
+    The columns are an explicit list; credits of any other warehouse go into ``other``.
+    """
+    m = metering if as_of is None else _since(metering, "start_time", as_of, days)
+    named = F.when(F.col("warehouse_name").isin(*warehouses), F.col("warehouse_name")).otherwise("other")
+    return (m.groupBy(F.to_date("start_time").alias("usage_date"))
+            .agg(*[F.coalesce(F.sum(F.when(named == w, F.col("credits_used"))), F.lit(0.0)).alias(w)
+                   for w in [*warehouses, "other"]]))
 
 
 def usage_by_warehouse(metering: DataFrame) -> DataFrame:
@@ -130,20 +136,25 @@ def usage_by_warehouse(metering: DataFrame) -> DataFrame:
 
 
 def storage_trend(storage: DataFrame, as_of: Column | None = None, days: int | None = None) -> DataFrame:
-    """Bytes per day converted to GB, and the total in TB (UC-9)."""
+    """Bytes per day converted to GB, and the mean total of a row in TB (UC-9)."""
     s = storage
     if as_of is not None and days is not None:
         s = s.where(F.col("usage_date") >= F.date_sub(F.to_date(as_of), days))
-    g = s.groupBy("usage_date").agg(*[F.sum(c).alias(c) for c in ["storage_bytes", "stage_bytes", "failsafe_bytes"]])
+    total = F.col("storage_bytes") + F.col("stage_bytes") + F.col("failsafe_bytes")
+    g = s.groupBy("usage_date").agg(F.avg(total).alias("mean_total"), *[
+        F.sum(c).alias(c) for c in ["storage_bytes", "stage_bytes", "failsafe_bytes"]])
     return g.select("usage_date", (F.col("storage_bytes") / GB).alias("storage_gb"),
                     (F.col("stage_bytes") / GB).alias("stage_gb"), (F.col("failsafe_bytes") / GB).alias("failsafe_gb"),
-                    ((F.col("storage_bytes") + F.col("stage_bytes") + F.col("failsafe_bytes")) / TB).alias("total_tb"))
+                    (F.col("mean_total") / TB).alias("total_tb"))
 
 
 def top_bytes(query_log: DataFrame, as_of: Column, k: int = 10, days: int = 7) -> DataFrame:
-    """Top ``k`` queries of the last ``days`` days by bytes scanned, NULL bytes last (UC-10)."""
-    q = _since(query_log, "start_time", as_of, days)
-    return (q.orderBy(F.col("bytes_scanned").desc_nulls_last(), F.col("query_id").asc()).limit(k)
-            .select("query_id", "user_name", "warehouse_name", "start_time",
-                    F.round(F.col("bytes_scanned") / GB, 2).alias("gb_scanned"),
-                    (F.col("execution_time") / 1000).alias("execution_seconds")))
+    """Top ``k`` successful warehouse queries of the last ``days`` days by bytes scanned, NULL bytes last (UC-10)."""
+    q = _since(query_log, "start_time", as_of, days).where(
+        (F.col("execution_status") == "SUCCESS") & F.col("warehouse_name").isNotNull())
+    return (q.orderBy(F.col("bytes_scanned").desc_nulls_last(), "query_id", "start_time", "user_name").limit(k)
+            .select("query_id", "warehouse_name", "user_name",
+                    F.round(F.col("total_elapsed_time") / 1000, 1).alias("elapsed_seconds"),
+                    F.round(F.col("bytes_scanned") / GB, 4).alias("gb_scanned"),
+                    F.round("credits_used_cloud_services", 6).alias("credits"),
+                    F.substring("query_text", 1, 150).alias("query_preview"), "start_time"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins from runtime sizes, coalesces small
@@ -25,13 +26,15 @@ def get_spark(master: str | None = None, app: str = "gamelake",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Return the active session, or build one with the defaults above.
 
-    On a cluster ``master`` stays None and the launcher's settings win; local runs
-    pass ``local[N]`` and a small shuffle-partition count.
+    On a cluster ``master`` stays None and the launcher's settings win: a default is set
+    only where the key is unset. Local runs pass ``local[N]`` and a small
+    shuffle-partition count.
     """
     b = SparkSession.builder.appName(app)
+    launched = SparkConf()
     if master:
         b = b.master(master)
-    conf = dict(DEFAULT_CONF)
+    conf = {k: v for k, v in DEFAULT_CONF.items() if not launched.contains(k)}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -45,8 +48,9 @@ def get_spark(master: str | None = None, app: str = "gamelake",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there and we only read it. Only when it is
-    unset (local tests) do we create a scratch folder and register it.
+    A cluster names a shared folder there and we only read it. Only when it is unset
+    and all tasks run on this machine (a ``local`` master) do we create a scratch folder
+    and register it; a cluster without the setting is an error.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir")
@@ -54,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return os.path.dirname(current.rstrip("/"))
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="gamelake-ckpt-")
         sc.setCheckpointDir(d)
     elif sc.getCheckpointDir() is None:

@@ -6,12 +6,14 @@ an order's line items as the survivors array). They compute nothing the models
 compute. Every formula here is mirrored 1:1 in the DuckDB oracle.
 
 Mapping (``e`` = events, ``o`` = orders, ``l`` = lineitem):
-  session_event        every e row; action by e.event_type; session = user:date
-  store_transaction    e rows with event_type 'purchase'
+  session_event        every e row; action by e.event_type; session = user:date; some rows twice,
+                       exactly or with another region and a later load
+  store_transaction    e rows with event_type 'purchase', a few with a negative price
   player_registration  e rows with event_type 'signup' (many per user; staging keeps the latest)
   progression_event    e rows with event_type 'view'
   mmr_update           every o row; player = o_custkey
-  match_completed      every o row; survivors = its line items (player = l_suppkey)
+  match_completed      every o row; survivors = its line items (player = l_suppkey); some killer
+                       perks joined into one string; one killer with impossible kill counts
   metering / query_log usage logs from l rows; storage from o rows
 """
 
@@ -84,8 +86,13 @@ class DriverTables:
             _pick(fixed.REGIONS, uid % 7).alias("region"),
             F.concat(F.lit("7."), (uid % 4).cast("string"), F.lit(".0")).alias("client_version"),
         )
-        return e.select(*_bronze("session_event", payload, ts,
-                                 _plus_seconds(ts, F.col("event_id") % 3600)))
+        def bronze(rows: DataFrame, body: Column, later: int) -> DataFrame:
+            return rows.select(*_bronze("session_event", body, ts,
+                                        _plus_seconds(ts, F.col("event_id") % 3600 + later)))
+        # exact duplicates, and near duplicates that another load brings with another region
+        near = payload.withField("region", _pick(fixed.REGIONS, (uid + 1) % 7))
+        return (bronze(e, payload, 0).unionByName(bronze(e.where("event_id % 17 = 0"), payload, 0))
+                .unionByName(bronze(e.where("event_id % 23 = 0"), near, 600)))
 
     def raw_store_transaction(self) -> DataFrame:
         e = self._events("purchase")
@@ -102,7 +109,7 @@ class DriverTables:
             item_type.alias("item_type"),
             _pick(fixed.CURRENCIES, eid % 6).alias("currency"),
             F.floor(F.col("value") * 100).cast("int").alias("amount"),
-            F.col("value").cast("decimal(10,2)").alias("amount_usd"),
+            (F.col("value") * F.when(eid % 101 == 0, -1).otherwise(1)).cast("decimal(10,2)").alias("amount_usd"),
             _pick(fixed.PLATFORMS, uid % 8).alias("platform"),
         )
         return e.select(*_bronze("store_transaction", payload, ts, _plus_seconds(ts, eid % 3600)))
@@ -208,7 +215,7 @@ class DriverTables:
                     F.concat(F.lit("kperk_"), (key % 11).cast("string")),
                     F.concat(F.lit("kperk_"), (key % 13).cast("string")),
                     F.concat(F.lit("kperk_"), (price % 17).cast("string"))).alias("perks"),
-            (price % 5).cast("int").alias("kills"),
+            (price % 5 + F.when(F.col("o_custkey") % 12 == 11, 5).otherwise(0)).cast("int").alias("kills"),
             (price % 13).cast("int").alias("hooks"),
             (price % 10000).cast("int").alias("score"),
         )
@@ -224,8 +231,10 @@ class DriverTables:
             killer.alias("killer"),
             F.col("survivors"),
         )
-        return (o.join(nested, "o_orderkey", "left")
-                .select(*_bronze("match_completed", payload, ts, _plus_seconds(ts, key % 7200))))
+        raw, filename, load_ts = _bronze("match_completed", payload, ts, _plus_seconds(ts, key % 7200))
+        joined = payload.withField("killer", killer.withField("perks", F.array_join(killer["perks"], ",")))
+        raw = F.when(key % 19 == 0, F.to_variant_object(joined)).otherwise(F.to_variant_object(payload))
+        return o.join(nested, "o_orderkey", "left").select(raw.alias("raw_data"), filename, load_ts)
 
     # ---- usage logs ------------------------------------------------------------
     def metering(self) -> DataFrame:

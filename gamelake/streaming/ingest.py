@@ -78,8 +78,10 @@ def stream_daily_activity(sdf: DataFrame, lateness_hours: int = fixed.MAX_LATENE
     """Daily activity per player maintained by a stateful streaming aggregation (STR-5).
 
     Run in update mode: each trigger emits the current totals of the groups it touched;
-    upserting them by (player, date, platform, region) keeps the table equal to the
-    batch model. The watermark bounds state to days that can still receive events.
+    upserting them by (player, date, platform, region) keeps the table equal to the batch
+    model over the events within ``lateness_hours`` of the newest one. The watermark bounds
+    state to days that can still receive events; later events are not counted here and
+    reach the table through the batch model, which reads them from staging.
     """
     a = F.col("action")
     g = (sdf.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
