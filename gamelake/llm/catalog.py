@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gamelake.llm import (chat_format, decontaminate, near_dedup, passages, pieces, quality_model, quality_rules,
                           sharding, toxicity, url_filters)
+from gamelake.llm.oracle import ORACLE  # noqa: F401
 from gamelake.llm.tables import table, training_row
 
 N_SHARDS = 40
@@ -21,7 +22,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 2-word shingles, similarity 0.8."""
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, pct=80)
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, pct=80).drop("class_id")
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +100,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
-}
-
-ORACLE: dict[str, str] = {}
+}
\ No newline at end of file

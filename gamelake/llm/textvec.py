@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -62,12 +62,14 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     """(first row, last row + 1, bytes, offsets) of slices of a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    if column.null_count:
+        column = pc.fill_null(column, "")
     n = len(column)
     if not n:
         return
+    wide = np.int64 if pa.types.is_large_string(column.type) else np.int32
     buffers = column.buffers()
-    offsets = np.frombuffer(buffers[1], np.int64)[column.offset:column.offset + n + 1]
+    offsets = np.frombuffer(buffers[1], wide)[column.offset:column.offset + n + 1].astype(np.int64)
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] else np.zeros(0, np.uint8)
     a = 0
     while a < n:
