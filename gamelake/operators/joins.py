@@ -7,18 +7,22 @@ from pyspark.sql import functions as F
 
 
 def with_dim(df: DataFrame, dim: DataFrame, on: Column | str | list, cols: list[str] | None = None,
-             bounded: bool = False, how: str = "left") -> DataFrame:
+             how: str = "left") -> DataFrame:
     """Left-join a dimension (JN-1).
 
-    ``bounded=True`` states that ``dim`` has a fixed, proven size (a seed lookup) and
-    broadcasts it. Otherwise the join is left to the planner: AQE broadcasts it only
-    if its measured runtime size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-    and falls back to a shuffled join beyond that.
+    No side is broadcast by hand: the planner broadcasts the dimension when its size,
+    known from the plan or measured at run time, is under
+    ``spark.sql.autoBroadcastJoinThreshold``, and shuffles otherwise.
     """
-    d = dim.select(*(cols or dim.columns))
-    if bounded:
-        d = F.broadcast(d)
-    return df.join(d, on, how)
+    return df.join(dim.select(*(cols or dim.columns)), on, how)
+
+
+def unique_dim(dim: DataFrame, key: str) -> DataFrame:
+    """The dimension, if its key is unique; duplicates would multiply facts and are an error."""
+    twice = dim.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy(key).limit(5).collect()
+    if twice:
+        raise ValueError(f"{key} is not unique: " + ", ".join(f"{r[key]!r} x {r['n']}" for r in twice))
+    return dim
 
 
 def flatten(df: DataFrame, array_col: str, alias: str = "value", keep: list[str] | None = None) -> DataFrame:

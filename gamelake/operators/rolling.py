@@ -49,6 +49,32 @@ def rolling_distinct(activity: DataFrame, date_col: str, id_col: str, days: int,
     return dates.join(run, date_col, "inner").select(date_col, F.col(out_col).cast("bigint").alias(out_col))
 
 
+def rolling_distinct_many(pairs: DataFrame, date_col: str, id_col: str, windows: dict[str, int],
+                          daily: str = "daily") -> DataFrame:
+    """Several trailing distinct counts, and the daily one, from one pass over distinct pairs.
+
+    The next active day of an id is looked up once; the spans of all windows become deltas
+    of one aggregate and running sums over one row per calendar date.
+    """
+    w = Window.partitionBy(id_col).orderBy(date_col)
+    spans = pairs.select(F.col(date_col).alias("_start"), F.lead(date_col).over(w).alias("_next"))
+
+    def delta(day: Column, value: int, name: str | None) -> Column:
+        return F.struct(day.alias("d"), F.lit(1 if name is None else 0).alias(daily),
+                        *[F.lit(value if name in (None, n) else 0).alias(n) for n in windows])
+
+    def end(days: int) -> Column:
+        last = F.date_add(F.col("_start"), days)
+        return F.least(last, F.coalesce("_next", last))
+
+    changes = spans.select(F.explode(F.array(
+        delta(F.col("_start"), 1, None), *[delta(end(days), -1, n) for n, days in windows.items()])).alias("x")).select("x.*")
+    per_day = changes.groupBy("d").agg(F.sum(daily).alias(daily), *[F.sum(n).alias(n) for n in windows])
+    running = Window.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
+    counts = per_day.select(F.col("d").alias(date_col), daily, *[F.sum(n).over(running).alias(n) for n in windows])
+    return counts.where(F.col(daily) > 0)
+
+
 def rolling_avg(df: DataFrame, col: str, order: str, rows: int = 7, by: list[str] | None = None,
                 out_col: str | None = None) -> DataFrame:
     """Average over the current row and ``rows - 1`` preceding rows (row-count frame)."""

@@ -72,6 +72,7 @@ def _dq_kill(spark, sf):
     return Q.valid_kill_rate(models(spark, sf).fct_match_outcomes)
 
 
+MONITORED = ["match_completed", "session_event", "store_transaction"]
 FRESHNESS_SOURCES = ["session_event", "store_transaction", "mmr_update", "match_completed", "player_registration",
                      "progression_event"]
 
@@ -101,15 +102,31 @@ def _dq_required(spark, sf):
 
 @register("volume_anomaly")
 def _volume(spark, sf):
-    raw = models(spark, sf).raw["session_event"]
-    return Q.volume_anomaly(raw, "load_ts", _max(raw, "load_ts"))
+    mm = models(spark, sf)
+    out = None
+    for s in MONITORED:
+        raw = mm.raw[s]
+        v = Q.volume_anomaly(raw, "load_ts", _max(raw, "load_ts")).select(F.lit(s).alias("source"), "*")
+        out = v if out is None else out.unionByName(v)
+    return out
 
 
 @register("schema_drift")
 def _drift(spark, sf):
-    raw = models(spark, sf).raw["session_event"]
-    since = F.timestamp_add("HOUR", F.lit(-6), _max(raw, "load_ts"))
-    return Q.drift_status(Q.schema_drift(spark, raw, fixed.EXPECTED_KEYS["session_event"], since))
+    mm = models(spark, sf)
+    out = None
+    for s in MONITORED:
+        raw = mm.raw[s]
+        since = F.timestamp_add("HOUR", F.lit(-6), _max(raw, "load_ts"))
+        v = Q.drift_status(Q.schema_drift(spark, raw, fixed.EXPECTED_KEYS[s], since)).select(F.lit(s).alias("source"), "*")
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+@register("check_suite")
+def _suite(spark, sf):
+    from gamelake.plans.check_suite import run_suite
+    return run_suite(models(spark, sf))
 
 
 @register("identity_resolution")

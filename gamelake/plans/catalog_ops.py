@@ -208,7 +208,7 @@ def _in_set(spark, sf):
 def _join_dim(spark, sf):
     mm = models(spark, sf)
     maps = mm.seed("seed_maps").select("map_id", "map_name", "realm")
-    return with_dim(mm.stg_matches.select("match_id", "map_id"), maps, "map_id", bounded=True)
+    return with_dim(mm.stg_matches.select("match_id", "map_id"), maps, "map_id")
 
 
 @register("join_multi_left")

@@ -42,8 +42,8 @@ def int_match_enriched(stg_matches: DataFrame, seed_killers: DataFrame, seed_sur
     k = seed_killers.select(F.col("character_id").alias("killer_character_id"), "killer_name",
                             F.col("power").alias("killer_power"))
     sv = seed_survivors.select(F.col("character_id").alias("survivor_character_id"), "survivor_name")
-    out = with_dim(flat, k, "killer_character_id", bounded=True)
-    out = with_dim(out, sv, "survivor_character_id", bounded=True)
+    out = with_dim(flat, k, "killer_character_id")
+    out = with_dim(out, sv, "survivor_character_id")
     kills = F.col("killer_kills")
     return out.withColumn("is_4k", F.coalesce(kills == 4, F.lit(False))) \
               .withColumn("is_0k", F.coalesce(kills == 0, F.lit(False)))

@@ -27,7 +27,7 @@ def fct_match_outcomes(stg_matches: DataFrame, seed_killers: DataFrame) -> DataF
              .withColumn("escape_rate", 1 - F.col("avg_kills") / 4.0)
     k = seed_killers.select(F.col("character_id").alias("killer_character_id"), "killer_name",
                             F.col("power").alias("killer_power"), F.col("chapter").alias("killer_chapter"))
-    return with_dim(out, k, "killer_character_id", bounded=True).select(
+    return with_dim(out, k, "killer_character_id").select(
         "killer_character_id", "total_matches", "avg_kills", "kill_rate", "escape_rate",
         "avg_match_duration_seconds", "avg_killer_score", "median_kills",
         "killer_name", "killer_power", "killer_chapter")
@@ -50,7 +50,7 @@ def fct_perk_performance(stg_matches: DataFrame, match_enriched: DataFrame, seed
     cols = ["perk_id", "role", "times_used", "avg_kills", "win_rate"]
     combined = killer.select(*cols).unionByName(surv.select(*cols))
     pk = seed_perks.select("perk_id", "perk_name", "perk_type", "tier")
-    return with_dim(combined, pk, "perk_id", bounded=True)
+    return with_dim(combined, pk, "perk_id")
 
 
 def fct_map_balance(stg_matches: DataFrame, seed_maps: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def fct_map_balance(stg_matches: DataFrame, seed_maps: DataFrame) -> DataFrame:
         F.avg("duration_seconds").alias("avg_duration_seconds"),
         F.stddev("killer_kills").alias("stddev_kills"))
     mp = seed_maps.select("map_id", "map_name", "realm", "map_size")
-    out = with_dim(agg, mp, "map_id", bounded=True)
+    out = with_dim(agg, mp, "map_id")
     return out.withColumn("balance_rating", balance_rating("kill_rate"))
 
 

@@ -20,7 +20,8 @@ from gamelake.plans import player as P
 from gamelake.plans import revenue as R
 from gamelake.plans import staging as S
 from gamelake.session import scratch_path
-from gamelake.sources.seeds import seed
+from gamelake.operators.joins import unique_dim
+from gamelake.sources.seeds import SEED_KEYS, seed
 
 RAW_KINDS = ["match_completed", "session_event", "store_transaction", "mmr_update",
              "player_registration", "progression_event"]
@@ -28,8 +29,10 @@ RAW_KINDS = ["match_completed", "session_event", "store_transaction", "mmr_updat
 
 class Models:
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of=None,
-                 materialize: bool = False):
+                 materialize: bool = False, seeds: dict[str, DataFrame] | None = None):
+        """``seeds`` replaces built-in lookups by name (``read_seed`` reads them from CSV)."""
         self.spark, self.raw, self.as_of, self.materialize = spark, raw, as_of, materialize
+        self.seeds = {n: unique_dim(d, SEED_KEYS[n]) for n, d in (seeds or {}).items()}
         self._run = uuid.uuid4().hex[:8]
 
     @classmethod
@@ -48,7 +51,7 @@ class Models:
         return materialize(self.spark, df, name, "table", scratch_path(self.spark, "tables", self._run, name))
 
     def seed(self, name: str) -> DataFrame:
-        return seed(self.spark, name)
+        return self.seeds[name] if name in self.seeds else seed(self.spark, name)
 
     # staging
     @cached_property
@@ -74,23 +77,26 @@ class Models:
     def int_player_daily_activity(self):
         return self._keep("int_player_daily_activity", I.int_player_daily_activity(self.stg_sessions))
     @cached_property
-    def int_session_metrics(self): return I.int_session_metrics(self.stg_sessions)
+    def int_session_metrics(self):
+        return self._keep("int_session_metrics", I.int_session_metrics(self.stg_sessions))
     @cached_property
-    def int_revenue_daily(self): return I.int_revenue_daily(self.stg_store_transactions)
+    def int_revenue_daily(self):
+        return self._keep("int_revenue_daily", I.int_revenue_daily(self.stg_store_transactions))
     @cached_property
     def int_player_first_last(self):
-        return I.int_player_first_last(self.stg_sessions, self.stg_players, self.as_of)
+        return self._keep("int_player_first_last",
+                          I.int_player_first_last(self.stg_sessions, self.stg_players, self.as_of))
 
     # marts
     @cached_property
-    def fct_dau_mau(self): return P.fct_dau_mau(self.int_player_daily_activity)
+    def fct_dau_mau(self): return self._keep("fct_dau_mau", P.fct_dau_mau(self.int_player_daily_activity))
     @cached_property
     def fct_player_retention(self):
         return P.fct_player_retention(self.int_player_first_last, self.int_player_daily_activity)
     @cached_property
     def fct_player_lifetime(self):
-        return P.fct_player_lifetime(self.int_player_first_last, self.stg_store_transactions,
-                                     self.int_session_metrics, self.int_match_enriched)
+        return self._keep("fct_player_lifetime", P.fct_player_lifetime(
+            self.int_player_first_last, self.stg_store_transactions, self.int_session_metrics, self.int_match_enriched))
     @cached_property
     def dim_players(self):
         return P.dim_players(self.stg_players, self.fct_player_lifetime, self.stg_mmr_updates)

@@ -10,17 +10,21 @@ from gamelake.functions.classify import churn_segment, mmr_segment
 from gamelake.functions.semantics import safe_ratio
 from gamelake.operators.dedup import latest_by
 from gamelake.operators.joins import retention_flags
-from gamelake.operators.rolling import rolling_distinct
+from gamelake.operators.rolling import rolling_distinct, rolling_distinct_many
 
 
 def fct_dau_mau(daily_activity: DataFrame, method: str = "coverage") -> DataFrame:
     """DAU / WAU / MAU and stickiness for every date with activity.
 
-    WAU and MAU are exact trailing distinct counts over 7 and 30 days computed with
-    ``rolling_distinct`` (no theta join). The distinct (date, player) pairs are built
-    once and shared by all three counts.
+    WAU and MAU are exact trailing distinct counts over 7 and 30 days without a theta
+    join. With ``coverage`` all three counts come from one pass over the distinct (date,
+    player) pairs; other methods run ``rolling_distinct`` once for each window.
     """
     pairs = daily_activity.select("activity_date", "player_id").where(F.col("player_id").isNotNull()).distinct()
+    if method == "coverage":
+        return rolling_distinct_many(pairs, "activity_date", "player_id", {"wau": 7, "mau": 30}, "dau").select(
+            F.col("activity_date").alias("metric_date"), "dau", "wau", "mau",
+            safe_ratio("dau", "mau", 4).alias("stickiness_ratio"))
     dau = pairs.groupBy("activity_date").agg(F.count(F.lit(1)).alias("dau"))  # = count(distinct player_id)
     wau = rolling_distinct(pairs, "activity_date", "player_id", 7, "wau", method)
     mau = rolling_distinct(pairs, "activity_date", "player_id", 30, "mau", method)

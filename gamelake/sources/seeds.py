@@ -2,7 +2,7 @@
 
 The lookups are small, fixed-size tables. They are shipped inside the plan as local
 relations (no file that executors would have to find on their own disk) and joined
-with an explicit broadcast: their size is bounded by these lists, not by the data.
+like any other dimension; the planner sees their size and broadcasts them.
 ``read_seed`` reads a user-supplied CSV from shared storage with a declared schema.
 """
 
@@ -20,6 +20,9 @@ SEED_SCHEMAS = {
                          "rarity string, price_auric_cells int, price_usd decimal(10,2)"),
 }
 
+SEED_KEYS = {"seed_killers": "character_id", "seed_survivors": "character_id", "seed_perks": "perk_id",
+             "seed_maps": "map_id", "seed_store_items": "item_id"}
+
 # Our own lookup rows. Ids follow the adapters' id scheme; some generated ids are
 # deliberately absent so that left joins keep unmatched rows.
 SEED_ROWS = {
@@ -88,13 +91,8 @@ SEED_ROWS = {
 
 
 def seed(spark: SparkSession, name: str) -> DataFrame:
-    """One of the built-in seed lookups as a (tiny, fixed) DataFrame."""
-    from decimal import Decimal
-    schema = T._parse_datatype_string(SEED_SCHEMAS[name])
-    rows = SEED_ROWS[name]
-    if name == "seed_store_items":
-        rows = [r[:-1] + ((Decimal(str(r[-1])) if r[-1] is not None else None),) for r in rows]
-    return spark.createDataFrame(rows, schema)
+    """One of the built-in seed lookups as a local relation, whose size the planner knows."""
+    return spark.sql(seed_values_sql(name, "string")[1:-1])
 
 
 def read_seed(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -102,17 +100,17 @@ def read_seed(spark: SparkSession, path: str, schema: str | T.StructType) -> Dat
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def seed_values_sql(name: str) -> str:
-    """The same lookup as a SQL ``VALUES`` relation (used by the DuckDB oracle)."""
+def seed_values_sql(name: str, text: str = "varchar") -> str:
+    """A built-in lookup as a SQL ``VALUES`` relation; ``text`` names the string type."""
     cols = [c.strip().split(" ")[0] for c in SEED_SCHEMAS[name].split(",")]
     types = [c.strip().split(" ", 1)[1] for c in SEED_SCHEMAS[name].split(",")]
 
     def lit(v, t):
         if v is None:
-            return f"CAST(NULL AS {t.replace('string', 'varchar')})"
+            return f"CAST(NULL AS {t.replace('string', text)})"
         if isinstance(v, str):
             return "'" + v.replace("'", "''") + "'"
-        return f"CAST({v} AS {t.replace('string', 'varchar')})"
+        return f"CAST({v} AS {t.replace('string', text)})"
 
     body = ", ".join("(" + ", ".join(lit(v, t) for v, t in zip(r, types)) + ")" for r in SEED_ROWS[name])
     return f"(SELECT * FROM (VALUES {body}) AS t({', '.join(cols)}))"
