@@ -19,14 +19,22 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 _shipped: set[str] = set()
 
+# Arrow batches that hold at most this much: texts are long, and a batch exists several
+# times between the JVM and Python. Set where the session has Spark's own default.
+ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+                "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864", "4194304")}
+
 
 def ship(spark: SparkSession) -> None:
     """Give the package's code to the Python workers, once a Spark application.
 
     Workers unpickle functions by module name, so they need the package even where the
-    launcher did not put it on their path.
+    launcher did not put it on their path. Arrow batches get their limits, too.
     """
     sc = spark.sparkContext
+    for key, (usual, ours) in ARROW_LIMITS.items():
+        if spark.conf.get(key, usual) in (usual, "64MB") and not sc.getConf().contains(key):
+            spark.conf.set(key, ours)
     if sc.applicationId not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         made = tempfile.mkdtemp(prefix="gamelake-code-")
