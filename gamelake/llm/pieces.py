@@ -313,11 +313,16 @@ def decode(trie: Trie, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
     return [raw[a + (raw[a:a + 1] == b" "):b].decode("utf-8", "replace") for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
-def encode_texts(df: DataFrame, trie: Trie, text: str = "text", out: str = "pieces") -> DataFrame:
-    """``df`` with the pieces of a text column; the trie's size is the vocabulary's."""
+def encode_texts(df: DataFrame, trie: Trie, text: str = "text", out: str = "pieces",
+                 exact: str = "exact") -> DataFrame:
+    """``df`` with the pieces of a text column; the trie's size is the vocabulary's.
+
+    The pieces are decoded again at once: ``exact`` says whether that gave the text back.
+    """
     shared = df.sparkSession.sparkContext.broadcast(trie)
-    rest = [c for c in df.columns if c != out]
-    schema = T.StructType([*df.select(*rest).schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
+    rest = [c for c in df.columns if c not in (out, exact)]
+    schema = T.StructType([*df.select(*rest).schema.fields, T.StructField(out, T.ArrayType(T.IntegerType())),
+                           T.StructField(exact, T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
@@ -325,11 +330,15 @@ def encode_texts(df: DataFrame, trie: Trie, text: str = "text", out: str = "piec
             for a, b, data, offsets in textvec.slices(batch.column(text)):
                 part = batch.slice(a, b - a)
                 lists = encoder.encode(data, offsets)
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-                flat = pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int32))
+                sizes = np.array([len(x) for x in lists] or [0] * (b - a), np.int64)
+                flat = np.concatenate(lists) if lists else np.zeros(0, np.int32)
+                back = decode(shared.value, flat, sizes)
+                same = [x == (y or "") for x, y in zip(back, part.column(text).to_pylist(), strict=True)]
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 absent = pc.is_null(part.column(text))
-                made = pa.ListArray.from_arrays(pa.array(ends), flat, mask=absent)
-                yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, out])
+                made = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=absent)
+                yield pa.RecordBatch.from_arrays([*part.columns, made, pa.array(same)],
+                                                 [*part.schema.names, out, exact])
 
     return df.select(*rest).mapInArrow(run, schema)
 
@@ -361,7 +370,6 @@ def encoded_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
     Input columns of these names are replaced.
     """
     trie = build_trie(load_pieces(model))
-    rest = [c for c in docs.columns if c not in ("pieces", "n_pieces", "exact", "decoded")]
-    both = decode_pieces(encode_texts(docs.select(*rest), trie), trie)
-    return both.select(*rest, "pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
-                       F.col("decoded").eqNullSafe(F.col("text")).alias("exact"))
+    rest = [c for c in docs.columns if c not in ("pieces", "n_pieces", "exact")]
+    return encode_texts(docs.select(*rest), trie).select(
+        *rest, "pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"), "exact")

@@ -73,6 +73,9 @@ def test_round_trip(spark, trie):
     for r in rows:
         assert (r["pieces"] is None) == (r["text"] is None) and r["n_pieces"] == len(r["pieces"] or [])
     assert pieces.encoded_documents(df.limit(0)).count() == 0
+    plain = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "doc_id long, text string")
+    back = pieces.decode_pieces(pieces.encode_texts(plain, trie), trie).collect()
+    assert all(r["decoded"] == r["text"] for r in back) and len(back) == len(ODD)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert pieces.encoded_documents(docs).where("NOT exact").count() == 0
 
