@@ -8,8 +8,10 @@ exact copies cost one row.
 
 In each bucket every class is paired with one leader only (a star), never with all
 others. The pairs are confirmed on the full sets, and the confirmed links joined into
-components. Buckets that still hold several components are looked at again: small ones
-with all remaining pairs, large ones with another leader, until a round finds nothing.
+components. Buckets that still hold several components are looked at again with another
+leader, the small ones with all remaining pairs. What is open in large buckets then is
+settled without leaders: their classes are dealt into blocks, and every two blocks with a
+bucket in common have all pairs of different components counted on the full sets.
 
 At similarity 0.8 a pair shares no bucket with probability (1 - 0.8 ** 4) ** 32 = 5e-8.
 
@@ -34,8 +36,10 @@ from gamelake.llm.tables import joined_ids, stored
 
 BINS, ROWS = 128, 4
 SMALL_BUCKET = 16
-NEXT_BANDS = 4
-ORDERS = 32
+BLOCK_CLASSES, BLOCK_SHINGLES = 512, 1 << 18
+OWN_BLOCK = 64          # classes of one component in one bucket that get blocks of their own
+FEW = 64                # pairs of a block pair up to which a shingle's are listed
+COLUMNS = 2048
 _SHIFT = np.uint64(64 - BINS.bit_length() + 1)
 _PROBES = np.random.default_rng(7).integers(0, BINS, (BINS, 4096), dtype=np.int16)
 
@@ -128,12 +132,10 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: i
 def _star(members: DataFrame, turn: int) -> DataFrame:
     """Each bucket's classes paired with its leader.
 
-    The leader is least by a hash that changes each turn. At first all buckets use the same
-    order, so that a group's buckets mostly agree on a leader; later a class meets up to
-    ``ORDERS`` leaders a turn.
+    The leader is least by a hash that changes each turn, the same for all buckets, so that
+    a group's buckets mostly agree on a leader.
     """
-    order = F.lit(0) if turn < 2 else F.pmod("key", F.lit(ORDERS))
-    rank = F.struct(F.xxhash64("c1", order, F.lit(turn)), "c1", "part")
+    rank = F.struct(F.xxhash64("c1", F.lit(turn)), "c1", "part")
     leaders = members.groupBy("key").agg(F.min(rank).alias("least"), F.count("*").alias("n")).where("n > 1").select(
         "key", F.col("least.c1").alias("leader"), F.col("least.part").alias("leader_part"))
     return (members.join(leaders, "key").where("part != leader_part")
@@ -161,19 +163,90 @@ def _large(members: DataFrame) -> DataFrame:
     return members.join(keys, "key")
 
 
-def _refined(members: DataFrame) -> DataFrame:
-    """The large buckets split by a second key their members share.
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set on the left has in common with each on the right.
 
-    A sub-bucket is the pair of a large bucket and another one of the same class, up to
-    ``NEXT_BANDS`` bands further on, so a class is in 4 times 32 sub-buckets at most. Two
-    classes at the similarity meet in 21 of them on average, and in none with a
-    probability of 1e-4.
+    Shingles of few pairs have them listed, the others are columns of a matrix product.
     """
-    own = _large(members).groupBy("c1", "part").agg(F.collect_list(F.struct("band", "key")).alias("keys"))
-    near = lambda x, y: F.pmod(y["band"] - x["band"], F.lit(BINS // ROWS)).between(1, NEXT_BANDS)
-    pairs = F.flatten(F.transform("keys", lambda x: F.transform(
-        F.filter("keys", lambda y: near(x, y)), lambda y: F.xxhash64(x["key"], y["key"]))))
-    return own.select("c1", "part", F.lit(0).alias("band"), F.explode(pairs).alias("key"))
+    n, m = len(left), len(right)
+    rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right)]
+    every = np.concatenate([*left, *right])
+    distinct, token = np.unique(every, return_inverse=True)
+    tokens = token[:len(rows[0])], token[len(rows[0]):]
+    count = [np.bincount(t, minlength=len(distinct)) for t in tokens]
+    product = count[0] * count[1]
+    out = np.zeros((n, m), np.float32)
+    listed = (product > 0) & (product <= FEW)
+    mine, other = (listed[t] for t in tokens)
+    if mine.any():
+        order = np.argsort(tokens[0][mine], kind="stable")
+        row = rows[0][mine][order]
+        t = tokens[1][other]
+        size = np.where(listed, count[0], 0)
+        first = np.cumsum(size) - size
+        times = count[0][t]
+        at = np.repeat(first[t] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        out += np.bincount(row[at] * m + np.repeat(rows[1][other], times), minlength=n * m).reshape(n, m)
+    dense = np.flatnonzero(product > FEW)
+    for k in range(0, len(dense), COLUMNS):
+        column = np.full(len(distinct), -1)
+        part = dense[k:k + COLUMNS]
+        column[part] = np.arange(len(part))
+        sides = []
+        for t, r, size in zip(tokens, rows, (n, m), strict=True):
+            x = np.zeros((size, len(part)), np.float32)
+            of = column[t]
+            x[r[of >= 0], of[of >= 0]] = 1
+            sides.append(x)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _block(rows: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Classes, components and sets of one block."""
+    c1, part, sets = rows.values.flatten()
+    ends = np.cumsum(sets.value_lengths().to_numpy())
+    return c1.to_numpy(), part.to_numpy(), np.split(sets.flatten().to_numpy(), ends[:-1])
+
+
+def _exact_links(members: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, pct: int) -> DataFrame:
+    """Links (a, b) among all pairs of different components that share a bucket of ``members``.
+
+    A class goes to blocks of its largest bucket, so that the many buckets of one group
+    compare two blocks once. Only blocks and pairs of blocks are rows, never pairs of classes.
+    """
+    most = members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("c1", "part").agg(
+        F.max(F.struct("n", "key")).alias("most")).select("c1", "part", F.col("most.key").alias("home"))
+    ids = classes.join(most.select("c1"), "c1").select(F.col("any_id").alias("doc_id")).distinct()
+    texts = joined_ids(docs.select("doc_id", "text"), ids, "left_semi")
+    own = stored(most.join(_sets(texts, shingle).dropDuplicates(["c1"]), "c1"), "sets")
+    many = own.groupBy("home", "part").agg(F.count("*").alias("n")).where(F.col("n") >= OWN_BLOCK).select(
+        "home", "part", F.lit(True).alias("many"))
+    own = own.join(many, ["home", "part"], "left").withColumn(
+        "home", F.xxhash64("home", F.when(F.col("many"), F.col("part"))))
+    room = own.groupBy("home").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK_CLASSES, F.sum(F.size("set")) / BLOCK_SHINGLES)).alias("blocks"))
+    own = own.join(room, "home").withColumn("block", F.xxhash64("home", F.pmod(F.xxhash64("c1"), "blocks")))
+    blocks = stored(own.groupBy("block").agg(F.collect_list(F.struct("c1", "part", "set")).alias("rows")), "blocks")
+    homes = blocks.select("block", F.explode("rows.c1").alias("c1"))
+    met = stored(members.join(homes, "c1").groupBy("key", "block").agg(
+        F.min("part").alias("x"), F.max("part").alias("y")), "met")
+    other = met.select("key", F.col("block").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"))
+    both = stored(met.join(other, "key").where(
+        (F.col("block") <= F.col("other")) & (F.least("x", "ox") != F.greatest("y", "oy")))
+        .select("block", "other").distinct(), "block-pairs")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for left, right in zip(batch.column("rows"), batch.column("others"), strict=True):
+                (a, pa_, sa), (b, pb, sb) = _block(left), _block(right)
+                n = _common(sa, sb)
+                size = np.array([len(s) for s in sa])[:, None] + np.array([len(s) for s in sb])[None, :]
+                i, j = np.nonzero((100 * n >= pct * (size - n)) & (pa_[:, None] != pb[None, :]))
+                yield pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(b[j])], ["a", "b"])
+
+    return (both.join(blocks, "block").join(blocks.select(F.col("block").alias("other"), F.col("rows").alias("others")),
+            "other").select("rows", "others").mapInArrow(run, "a long, b long"))
 
 
 def _joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -200,32 +273,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, pct: int = 80) -> DataFra
     # Only keys of at least two classes matter from here on.
     shared = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = stored(buckets.join(shared, "key").withColumn("part", F.col("c1")), "buckets")
-    tried, parts, turn = None, None, 0
-    while True:
-        pairs = _star(members, turn)
-        if turn in (1, 2):
-            pairs = pairs.unionByName(_all_left(members)).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = stored(_confirmed(pairs, classes, docs, shingle, pct), "links")
-        any_link = bool(links.take(1))
-        if any_link:
+    tried, parts = None, None
+    for turn in range(3):
+        if turn == 2:  # the small buckets are done with; what is open in the large ones is settled
+            links = stored(_exact_links(members, classes, docs, shingle, pct), "links")
+        else:
+            pairs = _star(members, turn)
+            if turn == 1:
+                pairs = pairs.unionByName(_all_left(members)).distinct().join(tried, ["a", "b"], "left_anti")
+            tried = stored(pairs, "pairs")
+            links = stored(_confirmed(tried, classes, docs, shingle, pct), "links")
+        if links.take(1):
             parts = _joined(parts, links)
-        if turn >= 2 and not any_link:
+        if turn == 2:
             break
         if parts is not None:
             members = members.drop("part").join(parts.withColumnRenamed("node", "c1"), "c1", "left").select(
                 "key", "band", "c1", F.coalesce("component", "c1").alias("part"))
-        if turn == 1:  # the small buckets are done with; the large ones are split
-            members = _refined(_unsettled(members))
-        elif turn > 1:
-            members = _large(members)
-        members = stored(_unsettled(members), "unsettled")
+        members = stored(_unsettled(_large(members) if turn else members), "unsettled")
         if not members.take(1):
             break
-        turn += 1
     named = classes.select("c1", "c2", "min_id")
     if parts is not None:
         group = (named.join(parts.withColumnRenamed("node", "c1"), "c1", "left")

@@ -126,3 +126,30 @@ def test_kept_documents(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("kept", F.lit(7)).withColumn("n", F.lit(7))
     got = sorted(((r["doc_id"], r["text"], r["kept"]) for r in near_dedup.kept_documents(df).collect()), key=str)
     assert got == sorted([(d, t, 7) for d, t in [rows[0], rows[2], *rows[4:]]], key=str)
+
+
+def test_common_counts():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(np.concatenate([np.arange(300), rng.integers(300, 4000, n)])).astype(np.uint64)
+            for n in rng.integers(1, 400, 90)] + [np.array([9000], np.uint64)]
+    want = [[len(np.intersect1d(a, b)) for b in sets[40:]] for a in sets[:60]]
+    assert near_dedup._common(sets[:60], sets[40:]).tolist() == want
+
+
+def test_templated_group_around_the_limit(spark):
+    """Texts just under the limit crowd every bucket; planted pairs just above must link."""
+    rng = random.Random(11)
+    new = iter(range(10**6))
+    body = [f"t{i}" for i in range(451)]
+
+    def fill(tail):
+        return " ".join(body + tail)
+
+    rows = [(i, fill([f"n{next(new)}" for _ in range(60)])) for i in range(400)]
+    for p in range(20):  # 14 more words in common: 464 of 556 shingles, 0.834
+        shared = [f"s{p}-{i}" for i in range(14)]
+        rows += [(1000 + 2 * p + k, fill(shared + [f"n{next(new)}" for _ in range(46)])) for k in (0, 1)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df, shingle=2).collect()}
+    assert got == {d: d - d % 2 if d >= 1000 else d for d, _ in rows}
