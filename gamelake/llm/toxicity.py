@@ -13,6 +13,9 @@ below; insults, as words or word beginnings, and the logistic function are learn
 a sample of labelled training texts. In toxic texts a term counts once for each word before
 it, so that copies of one toxic text don't make its rare words look like insults.
 
+A word keeps its inner apostrophes and loses outer ones, straight or curly. A word with an
+apostrophe that neither a list nor the insults have ("l'idiot") is read as its parts.
+
 Cases: null and empty texts have no clause and score the function's value at 0; equal
 texts score alike; without a toxic or a clean training text nothing is learned and a
 built-in list of insults is used; an empty table gives an empty result; extra columns
@@ -38,7 +41,9 @@ MAX_TERMS = 5_000       # size of the learned lexicon
 MIN_CONTEXTS = 5
 MIN_WEIGHT = 4.0
 PREFIXES = (4, 5, 6)
-NO_WORD = r"[^\p{L}']+"
+APOSTROPHES = "\u2018\u2019\u02bc"   # read as '
+LETTER = r"[\p{L}\p{No}\p{Nl}]"      # the same characters as [^\W\d_] of ``_TOKEN``
+WORD = f"{LETTER}+(?:'{LETTER}+)*"
 
 INSULTS = {"idiot": 6.0, "moron": 6.0, "stupid": 5.0, "scum": 6.0, "loser": 5.0, "worthless": 5.0,
            "pathetic": 5.0, "trash": 4.0, "disgusting": 4.0, "clown": 4.0}
@@ -57,7 +62,8 @@ TOTAL = "__clauses"
 
 SYMBOLS = ["other", "insult", "target", "intent", "harm", "negator", "report"]
 _CLAUSE = re.compile(r"[.!?;:\n]")
-_TOKEN = re.compile(r"[^\W\d_][^\W\d_']*")
+_TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*")
+_PLAIN = str.maketrans(dict.fromkeys(APOSTROPHES, "'"))
 
 
 def _countdown(symbol: str, reach: int) -> dict[tuple[int, str], int]:
@@ -135,27 +141,35 @@ class Grammar:
         if len(self.triggers):
             self.triggers.make_automaton()
 
+    def symbol(self, w: str) -> tuple[str | None, float]:
+        """A word's symbol and weight; None for a word that nothing knows."""
+        x = self.closed.get(w)
+        if x is None or x == "target":
+            insult = self.lexicon.insult(w)
+            if insult:
+                return "insult", insult
+        return x, 1.0
+
     def clause(self, text: str) -> float:
         """The weight of a clause's path through the composed machine."""
         state, total = self.machine.start, 0.0
         for w in _TOKEN.findall(text):
-            x, weight = self.closed.get(w), 1.0
-            if x is None or x == "target":
-                insult = self.lexicon.insult(w)
-                if insult:
-                    x, weight = "insult", insult
-            state, factor = self.machine.step[state, x or "other"]
-            total += factor * weight
+            read = [self.symbol(w)]
+            if read[0][0] is None and "'" in w:
+                read = [self.symbol(part) for part in w.split("'")]
+            for x, weight in read:
+                state, factor = self.machine.step[state, x or "other"]
+                total += factor * weight
         return total
 
     def total(self, text: str | None) -> float:
         if not text or not len(self.triggers):
             return 0.0
-        low = text.lower()
+        low = text.lower().translate(_PLAIN)
         total, done = 0.0, 0
         for end, n in self.triggers.iter(low):
             at = end - n + 1
-            if at < done or at and (low[at - 1].isalpha() or low[at - 1] == "'"):
+            if at < done or at and low[at - 1].isalpha():
                 continue
             begin = done
             for sign in ".!?;:\n":
@@ -178,7 +192,11 @@ def _forms(rows: DataFrame, *keep: str) -> DataFrame:
 def _terms(texts: DataFrame) -> DataFrame:
     """(term, prefix, t, c): words and word beginnings with their contexts in toxic and
     their occurrences in clean texts; a context is the word before, and counts once."""
-    w = F.filter(F.split(F.lower("text"), NO_WORD), lambda x: x != "")
+    low = F.translate(F.lower("text"), APOSTROPHES, "'" * len(APOSTROPHES))
+    known = [w for ws in (REPORTS, NEGATORS, HARMS, INTENTS, TARGETS) for w in ws if "'" in w]
+    # As a clause reads them: a word with an apostrophe may count whole or by its parts.
+    w = F.flatten(F.transform(F.regexp_extract_all(low, F.lit(WORD), F.lit(0)), lambda x: F.when(
+        x.contains("'") & ~x.isin(known), F.concat(F.array(x), F.split(x, "'"))).otherwise(F.array(x))))
     rows = texts.select("toxic", w.alias("w"))
     toxic = rows.where("toxic = 1").select(F.explode(F.transform("w", lambda x, i: F.struct(
         x.alias("word"), F.coalesce(F.get("w", i - 1), F.lit("")).alias("context")))).alias("x")).select("x.*")

@@ -59,6 +59,42 @@ def test_machine_against_brute_force(grammar):
         assert grammar.total(text) == pytest.approx(brute(grammar.lexicon, text)), text
 
 
+def spelled(text):
+    """Words of a clause by a scan: letters, and apostrophes between two letters."""
+    text = text.replace("\u2019", "'").replace("\u2018", "'")
+    inner = lambda i: text[i] == "'" and 0 < i < len(text) - 1 and text[i - 1].isalpha() and text[i + 1].isalpha()
+    return "".join(c if c.isalpha() or inner(i) else " " for i, c in enumerate(text)).split()
+
+
+def test_apostrophes_against_brute_force(grammar, monkeypatch):
+    t = grammar.total
+    assert t("I'll kill you") == t("I\u2019ll kill you") == t("we'll 'kill' you") == 5.0
+    assert t("you aren't an idiot") == t("you aren\u2019t an idiot") == 6.0 * 1.5 * 0.25
+    assert t("'idiot'") == t("\u2018idiot\u2019") == t("l'idiot") == t("l\u2019idiot") == t("idiot's") == 6.0
+    assert t("you're scum") == 9.0 and t("'you' scum") == 9.0
+    known = {*toxicity.TARGETS, *toxicity.INTENTS, *toxicity.HARMS, *toxicity.NEGATORS, *toxicity.REPORTS}
+
+    class Scan:
+        def findall(self, clause):
+            return [p for w in spelled(clause) for p in ([w] if w in known else w.split("'"))]
+
+    rng = np.random.default_rng(3)
+    pool = ["scum", "'idiot'", "l'idiot", "\u2018scum\u2019", "you're", "aren't", "don\u2019t", "i'll", "we\u2019ll", "kill",
+            "'burn'", ".", "the", "qu'il", "said", "'", "rock'n'roll", "idiot's", "''you''"]
+    texts = [" ".join(rng.choice(pool, rng.integers(0, 25))) for _ in range(400)]
+    got = [t(x) for x in texts]
+    monkeypatch.setattr(toxicity, "_TOKEN", Scan())
+    assert got == pytest.approx([brute(grammar.lexicon, x) for x in texts])
+
+
+def test_terms_learned_as_clauses_read_them(spark):
+    rows = [(f"a{k} 'vile' x", 1) for k in "bcdefg"] + [(f"a{k} l\u2019vile y", 1) for k in "bcdefg"]
+    rows = [(t.replace("a", "a" + "z" * i), y) for i, (t, y) in enumerate(rows)] + [("don't isn\u2019t 'good'", 0)]
+    terms = {r["term"]: r["t"] for r in toxicity._terms(spark.createDataFrame(rows, "text string, toxic int"))
+             .where("NOT prefix").collect()}
+    assert terms == {"vile": 7, "l'vile": 6}
+
+
 def rates(df, labels, column):
     got = df.join(labels.select(F.col("doc_id").alias("d"), column), F.col("doc_id") == F.col("d"))
     n = {(r[column], r["hit"]): r["count"] for r in got.groupBy(column, "hit").count().collect()}
