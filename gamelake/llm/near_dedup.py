@@ -23,7 +23,7 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,13 +115,10 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, "c1 long, set array<long>")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, pct: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], pct: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets reach the similarity."""
     asked = pairs.select(F.col("a").alias("c1")).unionByName(pairs.select(F.col("b").alias("c1"))).distinct()
-    # An id that occurs twice brings texts of other classes, which no pair asks for.
-    ids = classes.join(asked, "c1").select(F.col("any_id").alias("doc_id")).distinct()
-    texts = joined_ids(docs.select("doc_id", "text"), ids, "left_semi")
-    sets = stored(_sets(texts, shingle).dropDuplicates(["c1"]), "sets")
+    sets = stored(sets_of(asked), "sets")
     left = sets.select(F.col("c1").alias("a"), F.col("set").alias("sa"))
     right = sets.select(F.col("c1").alias("b"), F.col("set").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -209,7 +206,7 @@ def _block(rows: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, list[np.ndarray
     return c1.to_numpy(), part.to_numpy(), np.split(sets.flatten().to_numpy(), ends[:-1])
 
 
-def _exact_links(members: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, pct: int) -> DataFrame:
+def _exact_links(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], pct: int) -> DataFrame:
     """Links (a, b) among all pairs of different components that share a bucket of ``members``.
 
     A class goes to blocks of its largest bucket, so that the many buckets of one group
@@ -217,9 +214,7 @@ def _exact_links(members: DataFrame, classes: DataFrame, docs: DataFrame, shingl
     """
     most = members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("c1", "part").agg(
         F.max(F.struct("n", "key")).alias("most")).select("c1", "part", F.col("most.key").alias("home"))
-    ids = classes.join(most.select("c1"), "c1").select(F.col("any_id").alias("doc_id")).distinct()
-    texts = joined_ids(docs.select("doc_id", "text"), ids, "left_semi")
-    own = stored(most.join(_sets(texts, shingle).dropDuplicates(["c1"]), "c1"), "sets")
+    own = stored(most.join(sets_of(most.select("c1")), "c1"), "sets")
     many = own.groupBy("home", "part").agg(F.count("*").alias("n")).where(F.col("n") >= OWN_BLOCK).select(
         "home", "part", F.lit(True).alias("many"))
     own = own.join(many, ["home", "part"], "left").withColumn(
@@ -264,35 +259,51 @@ def _joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     return stored(old.unionByName(new), "components")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, pct: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, class_id) of every row of ``docs``."""
-    sketched = stored(sketches(docs, shingle), "sketches")
-    classes = stored(sketched.where("n_shingles > 0").groupBy("c1", "c2").agg(
-        F.min("doc_id").alias("min_id"), F.min("doc_id").alias("any_id"), F.first("keys").alias("keys")), "classes")
-    buckets = classes.select("c1", F.posexplode("keys").alias("band", "key"))
-    # Only keys of at least two classes matter from here on.
-    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = stored(buckets.join(shared, "key").withColumn("part", F.col("c1")), "buckets")
+def settled(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], pct: int) -> DataFrame | None:
+    """Components (node, component) of classes that share a bucket and reach the similarity.
+
+    ``members``: (key, c1, part), each class of a bucket once, ``part`` the class itself.
+    ``sets_of`` gives (c1, set) of the classes ``c1`` that it is asked for. No link, no table.
+    """
     tried, parts = None, None
     for turn in range(3):
         if turn == 2:  # the small buckets are done with; what is open in the large ones is settled
-            links = stored(_exact_links(members, classes, docs, shingle, pct), "links")
+            links = stored(_exact_links(members, sets_of, pct), "links")
         else:
             pairs = _star(members, turn)
             if turn == 1:
                 pairs = pairs.unionByName(_all_left(members)).distinct().join(tried, ["a", "b"], "left_anti")
             tried = stored(pairs, "pairs")
-            links = stored(_confirmed(tried, classes, docs, shingle, pct), "links")
+            links = stored(_confirmed(tried, sets_of, pct), "links")
         if links.take(1):
             parts = _joined(parts, links)
         if turn == 2:
             break
         if parts is not None:
             members = members.drop("part").join(parts.withColumnRenamed("node", "c1"), "c1", "left").select(
-                "key", "band", "c1", F.coalesce("component", "c1").alias("part"))
+                "key", "c1", F.coalesce("component", "c1").alias("part"))
         members = stored(_unsettled(_large(members) if turn else members), "unsettled")
         if not members.take(1):
             break
+    return parts
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, pct: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, class_id) of every row of ``docs``."""
+    sketched = stored(sketches(docs, shingle), "sketches")
+    classes = stored(sketched.where("n_shingles > 0").groupBy("c1", "c2").agg(
+        F.min("doc_id").alias("min_id"), F.min("doc_id").alias("any_id"), F.first("keys").alias("keys")), "classes")
+    buckets = classes.select("c1", F.explode("keys").alias("key"))
+    # Only keys of at least two classes matter from here on.
+    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    members = stored(buckets.join(shared, "key").withColumn("part", F.col("c1")), "buckets")
+
+    def sets_of(asked: DataFrame) -> DataFrame:
+        # An id that occurs twice brings texts of other classes, which no pair asks for.
+        ids = classes.join(asked, "c1").select(F.col("any_id").alias("doc_id")).distinct()
+        return _sets(joined_ids(docs.select("doc_id", "text"), ids, "left_semi"), shingle).dropDuplicates(["c1"])
+
+    parts = settled(members, sets_of, pct)
     named = classes.select("c1", "c2", "min_id")
     if parts is not None:
         group = (named.join(parts.withColumnRenamed("node", "c1"), "c1", "left")

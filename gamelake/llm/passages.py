@@ -4,10 +4,11 @@ Paragraphs are content-defined, so that a passage pasted anywhere yields the sam
 a paragraph begins at a word whose pair hash is the least among its ``REACH`` neighbours
 on either side. Each paragraph is the set of its ``SHINGLE``-word shingles.
 
-Equal paragraphs meet by a hash of their words. For the others the least shingle hashes
-under ``bands(recall)`` permutations are the band keys; paragraphs that collide are
-paired with the key's first class (a star), verified by exact Jaccard similarity on the
-full sets, and linked paragraphs joined into components. Every paragraph whose component
+Equal paragraphs meet by a hash of their words. For the others the keys are so many of the
+least shingle hashes that two sets at the similarity have one in common (a prefix filter,
+which misses nothing). Of the paragraphs that collide all pairs of different components are
+settled by ``near_dedup.settled`` with exact Jaccard similarity on the full sets: first
+with leaders, then small buckets pairwise and large ones by blocks. Every paragraph whose component
 occurs first in another document is a repeat. Runs of neighbouring repeats with at least
 ``MIN_WORDS`` words are removed, the first occurrence stays.
 
@@ -33,20 +34,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gamelake.llm import textvec
-from gamelake.llm.components import components
+from gamelake.llm import near_dedup, textvec
 from gamelake.llm.tables import joined_ids, stored
 
 SHINGLE, PCT = 5, 80
 REACH = 4
 MIN_WORDS = 16
-RECALL = 0.95
 SPANS = "__spans"
 
 
-def bands(recall: float = RECALL, pct: int = PCT) -> int:
-    """Bands of one row that find a pair at the similarity with this probability."""
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - pct / 100) - 1e-9))
+def prefix_keys(lists: np.ndarray, begin: np.ndarray, count: np.ndarray, wanted: np.ndarray,
+                pct: int) -> list[np.ndarray]:
+    """The least hashes of each wanted set: one more than it can lack at the similarity."""
+    of = np.repeat(np.arange(len(begin)), np.where(wanted, count, 0))
+    h = lists[np.repeat(wanted, count)]
+    order = np.lexsort((h, of))
+    of, h = of[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
+    of, h = of[new], h[new]
+    size = np.bincount(of, minlength=len(begin))
+    kept = np.where(size > 0, size + (-pct * size) // 100 + 1, 0)
+    rank = np.arange(len(h)) - (np.cumsum(size) - size)[of]
+    return np.split(h[rank < kept[of]], np.cumsum(kept)[:-1])
 
 
 def paragraph_starts(w: textvec.Words, reach: int = REACH) -> np.ndarray:
@@ -58,6 +68,7 @@ def paragraph_starts(w: textvec.Words, reach: int = REACH) -> np.ndarray:
     pair[1:] = textvec.mix(w.hash[:-1] * np.uint64(0xD6E8FEB86659FD93) + w.hash[1:])
     new = np.ones(n, bool)
     new[1:] = w.doc[1:] != w.doc[:-1]
+    pair[new] = w.hash[new]  # not with the last word of the text before
     least = np.ones(n, bool)
     for k in range(1, reach + 1):
         least[k:] &= pair[k:] < pair[:-k]
@@ -68,31 +79,29 @@ def paragraph_starts(w: textvec.Words, reach: int = REACH) -> np.ndarray:
     return np.flatnonzero(new | (least & inside))
 
 
-def paragraphs(docs: DataFrame, n_bands: int) -> DataFrame:
-    """(doc_id, at, words, start, stop, own, keys): word and byte ranges, hash, band keys."""
-    seeds = [np.uint64(x) for x in np.random.default_rng(8).integers(0, 1 << 63, n_bands, dtype=np.uint64)]
+def paragraphs(docs: DataFrame, pct: int | None = None) -> DataFrame:
+    """(doc_id, at, words, start, stop, own, keys): word and byte ranges, hash, and with ``pct`` keys.
+
+    Below ``floor`` shingles the similarity needs equal sets, which already share a class.
+    """
+    floor = 1 << 30 if pct is None or pct >= 100 else math.ceil(1 / (1 - pct / 100) - 1e-9)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in textvec.slices(batch.column("text")):
                 w = textvec.words(data, offsets, lower=True)
-                at, own, lists, begin, _ = _sliced(w)
+                at, own, lists, begin, count = _sliced(w)
                 if not len(at):
                     continue
                 size = np.diff(np.append(at, len(w.doc)))
-                keys = []
-                for k, seed in enumerate(seeds):
-                    low = np.minimum.reduceat(textvec.mix(lists ^ seed), begin)
-                    keys.append(textvec.mix(low + np.uint64(k)))
-                flat = np.stack(keys, 1).reshape(-1).view(np.int64)
-                ends = np.arange(0, len(flat) + 1, len(seeds), dtype=np.int32)
+                keys = prefix_keys(lists, begin, count, size >= floor + SHINGLE - 1, pct or 100)
                 doc = w.doc[at]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(a, b - a).take(pa.array(doc)),
                     pa.array((at - w.bounds()[doc]).astype(np.int32)), pa.array(size.astype(np.int32)),
                     pa.array(w.start[at] - offsets[doc]), pa.array(w.end[at + size - 1] - offsets[doc]),
                     pa.array(own.view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                    textvec.long_lists(keys),
                 ], ["doc_id", "at", "words", "start", "stop", "own", "keys"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL").mapInArrow(
@@ -135,39 +144,36 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "own long, set array<long>")
 
 
-def _near_links(docs: DataFrame, found: DataFrame, classes: DataFrame, pct: int) -> DataFrame:
-    """Links (a, b) between different paragraphs that collide in a band and reach the similarity.
+def _near_parts(docs: DataFrame, classes: DataFrame, pct: int) -> DataFrame | None:
+    """Components (node, component) of the different paragraphs that reach the similarity."""
+    long = stored(paragraphs(docs, pct).select(F.col("own").alias("c1"), F.explode("keys").alias("key")).distinct(), "keys")
+    shared = (long.groupBy("key").agg(F.min("c1").alias("least"), F.max("c1").alias("last"))
+              .where("least != last").select("key"))
+    members = stored(long.join(shared, "key").withColumn("part", F.col("c1")), "buckets")
 
-    Below ``floor`` shingles the similarity needs equal sets, which already share a class.
-    """
-    floor = math.ceil(1 / (1 - pct / 100) - 1e-9) if pct < 100 else 1 << 30
-    long = found.where(F.col("words") >= floor + SHINGLE - 1).select("own", F.explode("keys").alias("key"))
-    leaders = (long.groupBy("key").agg(F.min("own").alias("leader"), F.max("own").alias("last"))
-               .where("leader != last").drop("last"))
-    pairs = stored(long.join(leaders, "key").where("own != leader")
-                   .select(F.col("own").alias("a"), F.col("leader").alias("b")).distinct(), "pairs")
-    asked = stored(pairs.select(F.col("a").alias("own")).unionByName(pairs.select(F.col("b").alias("own")))
-                   .distinct(), "asked")
-    ids = classes.join(asked, "own").select(F.col("first.doc_id").alias("doc_id")).distinct()
-    sets = stored(_sets(joined_ids(docs, ids, "left_semi")).join(asked, "own", "left_semi")
-                  .dropDuplicates(["own"]), "sets")
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(sets.select(F.col("own").alias("a"), F.col("set").alias("sa")), "a")
-            .join(sets.select(F.col("own").alias("b"), F.col("set").alias("sb")), "b")
-            .where(100 * both >= pct * (F.size("sa") + F.size("sb") - both)).select("a", "b"))
+    def sets_of(asked: DataFrame) -> DataFrame:
+        asked = stored(asked.select(F.col("c1").alias("own")), "asked")
+        ids = classes.join(asked, "own").select(F.col("first.doc_id").alias("doc_id")).distinct()
+        return (_sets(joined_ids(docs, ids, "left_semi")).join(asked, "own", "left_semi")
+                .dropDuplicates(["own"]).withColumnRenamed("own", "c1"))
+
+    return near_dedup.settled(members, sets_of, pct)
 
 
 def repeated_passages(docs: DataFrame, pct: int = PCT, min_words: int = MIN_WORDS,
-                      recall: float = RECALL) -> DataFrame:
+                      recall: float = 1.0) -> DataFrame:
     """(doc_id, start, stop, words, first_doc): byte ranges that repeat an earlier document.
 
-    The earliest document is the one with the least id.
+    The earliest document is the one with the least id. Every ``recall`` is met: no pair
+    of paragraphs at the similarity is missed.
     """
-    found = paragraphs(docs, bands(recall, pct))
+    found = paragraphs(docs)
     classes = stored(found.groupBy("own").agg(
         F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last_doc")), "classes")
-    links = _near_links(docs, found, classes, pct)
-    parts = components(links).withColumnRenamed("node", "own")
+    parts = _near_parts(docs, classes, pct)
+    if parts is None:
+        parts = docs.sparkSession.createDataFrame([], "node long, component long")
+    parts = parts.withColumnRenamed("node", "own")
     # Only classes that lie in two documents, or are linked to another class, can repeat.
     named = classes.join(parts, "own", "left").select(
         "own", "first", "last_doc", F.coalesce("component", "own").alias("component"),

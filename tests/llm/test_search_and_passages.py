@@ -124,3 +124,68 @@ def test_near_paragraphs_link(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = passages.repeated_passages(df, min_words=1, recall=0.999999).collect()
     assert [(r["doc_id"], r["first_doc"]) for r in got if r["words"] == b - a] == [(2, 1)]
+
+
+def test_crowded_paragraphs_settle(spark):
+    """Of thousands of paragraphs that share a phrase, the near pairs all link, whoever leads."""
+    import numpy as np
+
+    from gamelake.llm import near_dedup
+    rng = np.random.default_rng(6)
+    hot = np.arange(4, dtype=np.uint64)  # the least hashes of all sets
+    sets = []
+    for _ in range(60):
+        own = np.sort(rng.integers(1 << 20, 1 << 60, 14, dtype=np.uint64))
+        other = np.sort(np.append(own[:-1], own[-1] + np.uint64(1)))  # 17 of 19 shingles
+        sets += [np.concatenate([hot, own]), np.concatenate([hot, other])]
+    sets += [np.concatenate([hot, np.sort(rng.integers(1 << 20, 1 << 60, 14, dtype=np.uint64))]) for _ in range(300)]
+    lists, count = np.concatenate(sets), np.array([len(s) for s in sets])
+    keys = passages.prefix_keys(lists, np.cumsum(count) - count, count, np.ones(len(sets), bool), 80)
+    assert all(len(k) == 18 - 15 + 1 for k in keys)
+    members = spark.createDataFrame([(int(k), i, i) for i, x in enumerate(keys) for k in x], "key long, c1 long, part long")
+    full = spark.createDataFrame([(i, [int(x) for x in s]) for i, s in enumerate(sets)], "c1 long, set array<long>")
+    parts = near_dedup.settled(members, lambda asked: full.join(asked, "c1", "left_semi"), 80)
+    assert sorted(tuple(r) for r in parts.collect()) == [(i, i - i % 2) for i in range(120)]
+
+
+def test_no_near_paragraph_is_missed():
+    """Two sets at the similarity always share a key."""
+    import numpy as np
+    rng = np.random.default_rng(7)
+    for _ in range(500):
+        n = int(rng.integers(5, 60))
+        a = np.unique(rng.integers(0, 1 << 40, n, dtype=np.uint64))
+        b = np.unique(np.append(a[rng.permutation(len(a))[:int(rng.integers(len(a) * 4 // 5, len(a) + 1))]],
+                                rng.integers(0, 1 << 40, int(rng.integers(0, 8)), dtype=np.uint64)))
+        if 100 * len(np.intersect1d(a, b)) < 80 * len(np.union1d(a, b)):
+            continue
+        count = np.array([len(a), len(b)])
+        x, y = passages.prefix_keys(np.concatenate([a, b]), np.cumsum(count) - count, count, np.ones(2, bool), 80)
+        assert len(np.intersect1d(x, y))
+
+
+def test_all_near_paragraphs_link_by_default(spark):
+    """Hundreds of paragraphs with the last word changed: the default parameters find every one."""
+    import numpy as np
+    import pyarrow as pa
+
+    from gamelake.llm import textvec
+    rng = random.Random(10)
+    words = [f"x{rng.randrange(10**6)}" for _ in range(60000)]
+
+    def starts(w):
+        _, _, data, offsets = next(textvec.slices(pa.array([" ".join(w)])))
+        return passages.paragraph_starts(textvec.words(data, offsets))
+
+    docs, size = [], {}
+    at = starts(words[:25000])
+    for k in np.flatnonzero(np.diff(at) >= 13):
+        body = words[at[k]:at[k + 1]]
+        near = body[:-1] + ["other"]
+        if len(starts(body)) == len(starts(near)) == 1:
+            size[len(docs) + 1] = len(body)
+            docs += [(len(docs), " ".join(body)), (len(docs) + 1, " ".join(near))]
+    assert len(size) > 150
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {(r["doc_id"], r["first_doc"], r["words"]) for r in passages.repeated_passages(df, min_words=1).collect()}
+    assert got == {(d, d - 1, n) for d, n in size.items()}
