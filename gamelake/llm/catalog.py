@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamelake.llm import (chat_format, decontaminate, near_dedup, passages, pieces, quality_model, quality_rules,
-                          sharding, toxicity, url_filters)
+from gamelake.llm import (chat_format, conversation_repair, decontaminate, line_dedup, near_dedup, passages, pieces,
+                          quality_model, quality_rules, sharding, spelling, toxicity, url_filters)
 from gamelake.llm.oracle import ORACLE  # noqa: F401
 from gamelake.llm.tables import table, training_row
 
@@ -89,6 +89,24 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "virtual_slot", "next_shard")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and the repaired text's hash of every conversation, damaged by its rows' hashes."""
+    return conversation_repair.audits(conversation_repair.damage(table(spark, sf_dir, "conversations"))).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its form, the root of its forms and its near words."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten or more documents have, as a hash."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_frequent_lines(docs, min_docs=10).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -100,4 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sharding": op10_sharding,
-}
\ No newline at end of file
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_line_dedup": op13_line_dedup,
+}
