@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from gamelake.llm.tables import ship
 
-BLOCK = 256
+BLOCK = 64
 COUNTS = ("gaps", "blank", "duplicate", "truncated", "illegal")
 SPACES = " \t\n\x0b\x0c\r"
 DELETE, REROLE, INSERT, TRUNCATED = 4, 3, 3, 3
@@ -96,15 +96,17 @@ def _steps(codes: str, i: int, q: int, closing: bool) -> list[tuple[str, int, in
     return steps
 
 
-def cheapest(codes: str, entry: int = 0, leave: int | None = None) -> tuple[int, str] | None:
+def cheapest(codes: str, entry: int = 0, leave: int | None = None,
+             needs: dict[tuple[int, int], int] | None = None) -> tuple[int, str] | None:
     """(cost, letters) of the cheapest, ASCII-least edits of one block; None if there are none.
 
     ``codes``: one letter a turn: x must go; s, u, a, o (another role), upper case if
-    truncated. ``leave``: the state to end in; None: any end of a conversation.
+    truncated. ``leave``: the state to end in; None: any end of a conversation. ``needs``: the
+    table of failed states, to go on with from another entry (codes and leave being the same).
     """
     h, n = _lower_bounds(codes), len(codes)
-    needs: dict[tuple[int, int], int] = {}
-    bound, most = h[0], DELETE * n + 2 * INSERT
+    needs = {} if needs is None else needs
+    bound, most = max(h[0], needs.get((0, entry), 0)), DELETE * n + 2 * INSERT
     while bound <= most:
         letters: list[str] = []
         # One frame a state on the path: turn, state, cost so far, steps, next step, least need of the steps.
@@ -212,9 +214,10 @@ def _searched(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[
         rows = batch.to_pylist()
         for row in rows:
             row["options"] = []
-            for entry in (0,) if row["block"] == 0 else (0, 1, 2, 3):
-                for leave in (None,) if row["last"] else (0, 1, 2, 3):
-                    found = cheapest(row["codes"], entry, leave)
+            for leave in (None,) if row["last"] else (0, 1, 2, 3):
+                needs: dict[tuple[int, int], int] = {}
+                for entry in (0,) if row["block"] == 0 else (0, 1, 2, 3):
+                    found = cheapest(row["codes"], entry, leave, needs)
                     if found:
                         row["options"].append({"entry": entry, "leave": leave, "cost": found[0], "audit": found[1]})
         yield _batch(rows, schema)
@@ -321,7 +324,9 @@ def _passes(turns: DataFrame, summaries: bool) -> DataFrame:
     counts = "block int, last boolean, codes string, " + ", ".join(f"{c} long" for c in COUNTS)
     blocks = _map(coded.repartition("conv_id").sortWithinPartitions("conv_id", *order), _blocks, f"conv_id {kind}, {counts}")
     option = "options array<struct<entry int, leave int, cost long, audit string>>"
-    answers = _map(blocks.repartition("conv_id", "block"), _searched, f"conv_id {kind}, {counts}, {option}")
+    # A block is few bytes and much work: so many tasks are kept as there are shuffle partitions.
+    tasks = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    answers = _map(blocks.repartition(tasks, "conv_id", "block"), _searched, f"conv_id {kind}, {counts}, {option}")
     both = answers.drop("codes", "last").unionByName(rows, allowMissingColumns=True)
     # A conversation's answers come before its turns: nulls first in the column that only answers lack.
     ordered = both.repartition("conv_id").sortWithinPartitions(

@@ -69,9 +69,11 @@ def test_blocks_chain_to_the_whole():
         blocks = []
         for k, part in enumerate(cuts):
             options = []
-            for entry in range(4) if k else [0]:
-                for leave in [None] if k == len(cuts) - 1 else range(4):
-                    found = repair.cheapest(part, entry, leave)
+            for leave in [None] if k == len(cuts) - 1 else range(4):
+                needs = {}
+                for entry in range(4) if k else [0]:
+                    found = repair.cheapest(part, entry, leave, needs)
+                    assert found == ways(part, entry, leave)
                     if found:
                         options.append({"entry": entry, "leave": leave, "cost": found[0], "audit": found[1]})
             blocks.append(options)
