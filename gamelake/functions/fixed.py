@@ -57,6 +57,9 @@ RETENTION_DAYS = [1, 7, 30]
 # look-back for incremental staging loads (days)
 INCREMENTAL_LOOKBACK_DAYS = 3
 
+# trailing windows of active players (days)
+MAU_DAYS = 30
+
 # maximum lateness of an event (hours), used as the streaming watermark
 MAX_LATENESS_HOURS = 48
 

@@ -176,4 +176,4 @@ def _store_conv(spark, sf_dir):
 
 
 # operator, check, usage, report, source and streaming keys register themselves on import
-from gamelake.plans import catalog_checks, catalog_ops  # noqa: E402,F401
+from gamelake.plans import catalog_checks, catalog_ops, catalog_stored  # noqa: E402,F401
