@@ -19,6 +19,27 @@ def latest_by(df: DataFrame, keys: list[str] | str, order: list[Column]) -> Data
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def load_order(columns: list[str]) -> list[Column]:
+    """Last load wins: load time, file, then a hash of the row, so that no tie is left to chance."""
+    return [F.col("load_ts").desc_nulls_first(), F.col("filename").desc_nulls_first(),
+            F.xxhash64(*[F.col(c) for c in columns])]
+
+
+def latest_by_tied(df: DataFrame, keys: list[str] | str, order: list[Column], tie: Column) -> DataFrame:
+    """``latest_by`` with a last order column that is dear: computed only where a key's first place is shared.
+
+    ``rank`` keeps all rows that share the first place (limited on the map side like
+    ``row_number``); one more pass over the same partitions counts them and numbers them by
+    ``tie`` where there are several. One exchange in all.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    by = Window.partitionBy(*keys)
+    first = df.withColumn("_rk", F.rank().over(by.orderBy(*order))).where(F.col("_rk") == 1)
+    tied = first.withColumn("_n", F.count(F.lit(1)).over(by)).withColumn("_tie", F.when(F.col("_n") > 1, tie))
+    return (tied.withColumn("_rn", F.row_number().over(by.orderBy(F.col("_tie"))))
+            .where(F.col("_rn") == 1).drop("_rk", "_n", "_tie", "_rn"))
+
+
 def latest_by_max(df: DataFrame, keys: list[str] | str, order_col: str, cols: list[str]) -> DataFrame:
     """Alternative form: ``max_by(struct(cols), order_col)`` grouped by key.
 

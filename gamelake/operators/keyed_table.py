@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from gamelake.operators.dedup import latest_by
+from gamelake.operators.dedup import latest_by, load_order  # noqa: F401 (order of merges)
 from gamelake.operators.incremental import _keyed, _same, read_table, scd2_apply
 from gamelake.session import scratch_path
 
@@ -97,12 +97,6 @@ class Commits:
         return gone
 
 
-def load_order(columns: list[str]) -> list[Column]:
-    """Last load wins: load time, file, then a hash of the row, so that no tie is left to chance."""
-    return [F.col("load_ts").desc_nulls_first(), F.col("filename").desc_nulls_first(),
-            F.xxhash64(*[F.col(c) for c in columns])]
-
-
 class KeyedTable:
     """Rows by key in partitions, upserted by commits (SNK-1).
 

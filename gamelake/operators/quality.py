@@ -83,32 +83,57 @@ def freshness(df: DataFrame, source: str, ts_col: str, warn_hours: float, error_
          .when(age > warn_hours, "warn").otherwise("pass").alias("status"))
 
 
-def min_rows_per_hour(df: DataFrame, ts_col: str, n: int = 100) -> DataFrame:
-    """Hours (between the first and last observed hour) with fewer than ``n`` rows (DQ-10).
+def min_rows_per_hour(df: DataFrame, ts_col: str, n: int = 100, since: Column | None = None,
+                      until: Column | None = None) -> DataFrame:
+    """Hours with fewer than ``n`` rows (DQ-10); a silent hour is reported with 0 rows.
 
-    Empty hours are found by left-joining counts onto an hour spine generated from the
-    observed bounds, so a silent hour is reported with 0 rows.
+    Hours without rows are the gaps between an hour and the next one that has some, made
+    row by row from the sorted hours. Between the first and last observed hour, or from
+    ``since`` to ``until`` (hours outside are not read and cost nothing, edges without rows count).
     """
-    h = df.select(F.date_trunc("hour", F.col(ts_col)).cast("timestamp_ntz").alias("hour"))
+    hour, one = F.date_trunc("hour", F.col(ts_col)).cast("timestamp_ntz"), F.expr("INTERVAL 1 HOUR")
+    h = df.select(hour.alias("hour")).where(F.col("hour").isNotNull())
+    edges = []
+    for edge, step in ((since, -one), (until, one)):
+        if edge is not None:
+            edges.append((F.date_trunc("hour", edge).cast("timestamp_ntz") + step).alias("hour"))
+    if since is not None:
+        h = h.where(F.col("hour") >= F.date_trunc("hour", since).cast("timestamp_ntz"))
+    if until is not None:
+        h = h.where(F.col("hour") <= F.date_trunc("hour", until).cast("timestamp_ntz"))
     counts = h.groupBy("hour").agg(F.count(F.lit(1)).alias("row_count"))
-    spine = h.agg(F.min("hour").alias("lo"), F.max("hour").alias("hi")).select(
-        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
-    return (spine.join(counts, "hour", "left")
-            .select("hour", F.coalesce("row_count", F.lit(0)).alias("row_count"))
-            .where(F.col("row_count") < n))
+    for edge in edges:  # an hour outside the window, only there to end a gap
+        counts = counts.unionByName(df.sparkSession.range(1).select(edge, F.lit(None).cast("bigint").alias("row_count")))
+    from pyspark.sql import Window
+    following = F.lead("hour").over(Window.orderBy("hour"))  # one row an hour
+    gap = F.when(F.col("next") > F.col("hour") + one, F.sequence(F.col("hour") + one, F.col("next") - one, one))
+    rows = counts.withColumn("next", following).select(F.explode(F.concat(
+        F.array(F.struct("hour", "row_count")),
+        F.coalesce(F.transform(gap, lambda x: F.struct(x.alias("hour"), F.lit(0).cast("bigint").alias("row_count"))), F.array()))).alias("x"))
+    return rows.select("x.*").where(F.col("row_count") < n)
 
 
-def top_level_keys(bronze: DataFrame) -> Column:
-    """Array of a VARIANT object's top-level keys (NULL for non-objects)."""
-    return F.json_object_keys(F.to_json(F.col("raw_data")))
+def exploded_keys(bronze: DataFrame, col: str = "raw_data") -> DataFrame:
+    """Bronze rows by top-level key of their VARIANT object: pos, key. Others give one row without a key."""
+    kept = bronze.select(col)
+    return kept.lateralJoin(bronze.sparkSession.tvf.variant_explode_outer(F.col(col).outer())).select("pos", "key")
 
 
 def required_keys(bronze: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows missing each required top-level key (DQ-11): (key, missing_rows, status)."""
-    k = bronze.select(top_level_keys(bronze).alias("_k"))
-    counts = k.agg(*[F.count_if(~F.coalesce(F.array_contains("_k", x), F.lit(False))).alias(x) for x in keys])
-    return (counts.unpivot([], keys, "key", "missing_rows")
-            .withColumn("status", F.when(F.col("missing_rows") == 0, "pass").otherwise("fail")))
+    """Rows missing each required top-level key (DQ-11): (key, missing_rows, status).
+
+    Keys are read from the binary VARIANT and counted before any shuffle; a row counts
+    once in all, at its first key.
+    """
+    wanted = F.when(F.col("key").isin(keys), F.col("key"))
+    found = exploded_keys(bronze).groupBy(wanted.alias("key")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("rows"))
+    asked = bronze.sparkSession.createDataFrame([(k, 0, 0) for k in keys], "key string, n bigint, rows bigint")
+    from pyspark.sql import Window
+    both = found.unionByName(asked).groupBy("key").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows"))
+    missing = F.sum("rows").over(Window.partitionBy(F.lit(1))) - F.col("n")  # one row a required key
+    return both.withColumn("missing_rows", missing).where(F.col("key").isNotNull()).select(
+        "key", "missing_rows", F.when(F.col("missing_rows") == 0, "pass").otherwise("fail").alias("status"))
 
 
 def volume_anomaly(df: DataFrame, ts_col: str, as_of: Column, hours: int = 6, threshold: float = 0.80,
@@ -143,7 +168,7 @@ def schema_drift(spark: SparkSession, bronze: DataFrame, expected: list[str], si
     limit: every recent row's keys are inspected (distinct keys are tiny).
     """
     b = bronze if since is None else bronze.where(F.col("load_ts") >= since)
-    actual = b.select(F.explode(top_level_keys(b)).alias("key")).distinct()
+    actual = exploded_keys(b).where(F.col("key").isNotNull()).select("key").distinct()
     exp = spark.createDataFrame([(k,) for k in expected], "key string")
     return key_diff(actual, exp, "key")
 
@@ -172,7 +197,7 @@ def resolve_identity(df: DataFrame, id_col: str, registrations: DataFrame) -> Da
 
 
 def account_map(registrations: DataFrame) -> DataFrame:
-    from gamelake.operators.dedup import latest_by
+    from gamelake.operators.dedup import latest_by, load_order
     r = registrations.select(
         F.try_variant_get("raw_data", "$.bhvr_id", "string").alias("canonical_id"),
         F.try_variant_get("raw_data", "$.platform_accounts",
@@ -180,7 +205,7 @@ def account_map(registrations: DataFrame) -> DataFrame:
                           "is_primary boolean>>").alias("accounts"),
         "load_ts", "filename")
     latest = latest_by(r.where(F.col("canonical_id").isNotNull()), "canonical_id",
-                       [F.col("load_ts").desc_nulls_first(), F.col("filename").desc_nulls_first()])
+                       load_order(r.columns))
     return latest.select("canonical_id", F.explode("accounts").alias("a"), "load_ts").select(
         "canonical_id", "a.platform", "a.platform_player_id", "a.display_name", "a.is_primary", "load_ts")
 
@@ -241,66 +266,28 @@ def repair_nested(stg_like: DataFrame, col: str = "killer_perks") -> DataFrame:
 
 
 def out_of_order(df: DataFrame, session_col: str = "session_id", ts_col: str = "event_timestamp",
-                 order_cols: list[str] | None = None, partitions: int | None = None) -> DataFrame:
+                 order_cols: list[str] | None = None, bucket: str = "hour") -> DataFrame:
     """Events whose timestamp is earlier than the previous event's in load order (DQ-18).
 
-    A ``Window.partitionBy(session)`` would put a session holding a third of all rows
-    (a bot) into one task. Instead rows are range-partitioned by (session, load order):
-    the sampled range bounds split a hot session across several tasks. Each sorted
-    partition computes the predecessor of its rows locally (``mapInPandas``); only
-    the first row of a partition needs the previous partition's last row, and those
-    tails (one row per partition, a bound set by the partition count) are broadcast.
-    The partitioned rows are written once to the checkpoint folder (one extra pass).
+    A ``Window.partitionBy(session)`` would put a session holding a third of all rows (a bot)
+    into one task. The order's first column is a time, so a session's rows are cut into
+    buckets of it (``bucket``: a unit of ``date_trunc``): inside a bucket ``lag`` finds the
+    predecessor; the first row of a bucket follows the last one of the session's bucket
+    before, found by a window over one row a bucket. NULLs come first; rows without a
+    session are one session.
     """
-    import pandas as pd
-
-    order_cols = order_cols or ["load_ts", "event_id"]
-    keys = [session_col] + order_cols
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    from gamelake.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    # Range bounds are sampled per execution, so the partition ids must be fixed once:
-    # the partitioned, sorted rows are checkpointed to the shared checkpoint folder and
-    # both the local pass and the partition tails read that same copy.
-    ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in keys])
-              .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in keys])
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-    from pyspark.sql import types as T
-    base = ranged.schema
-    schema = T.StructType(list(base.fields) + [T.StructField("prev_event_timestamp", base[ts_col].dataType),
-                                               T.StructField("_first", T.BooleanType())])
-
-    def local_lag(batches):
-        # streams the partition's Arrow batches in order, carrying the last row across batches
-        prev_s, prev_t, first = None, pd.NaT, True
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            ps, pt = pdf[session_col].shift(1), pdf[ts_col].shift(1)
-            ps.iloc[0], pt.iloc[0] = prev_s, prev_t
-            pdf["prev_event_timestamp"] = pt.where(pdf[session_col].eq(ps))
-            pdf["_first"] = False
-            if first:
-                pdf.loc[pdf.index[0], "_first"] = True
-                first = False
-            prev_s, prev_t = pdf[session_col].iloc[-1], pdf[ts_col].iloc[-1]
-            yield pdf
-
-    local = ranged.mapInPandas(local_lag, schema)
-    last_w = F.max_by(F.struct(F.col(session_col).alias("s"), F.col(ts_col).alias("t")),
-                      F.struct(*[F.col(c) for c in keys]))
     from pyspark.sql import Window
-    # one row per non-empty partition; each tail feeds the next non-empty partition
-    tails = (ranged.groupBy("_pid").agg(last_w.alias("_tail"))
-             .withColumn("_next", F.lead("_pid").over(Window.orderBy("_pid")))
-             .select(F.col("_next").alias("_pid"), F.col("_tail.s").alias("_tail_s"), F.col("_tail.t").alias("_tail_t")))
-    fixed_rows = local.join(F.broadcast(tails), "_pid", "left").withColumn(
-        "prev_event_timestamp",
-        F.when(F.col("_first") & (F.col("_tail_s") == F.col(session_col)), F.col("_tail_t"))
-         .otherwise(F.col("prev_event_timestamp")))
-    out = fixed_rows.drop("_pid", "_first", "_tail_s", "_tail_t")
-    return (out.where(F.col(ts_col) < F.col("prev_event_timestamp"))
+    order_cols = order_cols or ["load_ts", "event_id"]
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    cut = df.withColumn("_bucket", F.date_trunc(bucket, F.col(order_cols[0])))
+    prev = F.lag(ts_col).over(Window.partitionBy(session_col, "_bucket").orderBy(*order))
+    inside = cut.withColumn("prev_event_timestamp", prev).drop("_bucket")
+    by = F.struct(*[F.col(c) for c in order_cols])
+    edges = cut.groupBy(session_col, "_bucket").agg(
+        F.min_by(F.struct(*[F.col(c) for c in df.columns]), by).alias("_first"), F.max_by(F.col(ts_col), by).alias("_last"))
+    before = F.lag("_last").over(Window.partitionBy(session_col).orderBy(F.col("_bucket").asc_nulls_first()))
+    across = edges.withColumn("prev_event_timestamp", before).select("_first.*", "prev_event_timestamp")
+    return (inside.unionByName(across).where(F.col(ts_col) < F.col("prev_event_timestamp"))
             .withColumn("seconds_early", F.timestamp_diff("SECOND", F.col(ts_col), F.col("prev_event_timestamp"))))
 
 

@@ -94,6 +94,37 @@ def _dq_rows(spark, sf):
     return Q.min_rows_per_hour(models(spark, sf).stg_sessions, "event_timestamp", 10)
 
 
+@register("dq_row_count_sources")
+def _dq_rows_sources(spark, sf):
+    """Thin hours of the last two days of each monitored source, silent hours at the edges included."""
+    mm, out = models(spark, sf), None
+    for s in MONITORED:
+        raw = mm.raw[s]
+        until = _max(raw, "load_ts")
+        v = Q.min_rows_per_hour(raw, "load_ts", 10, F.timestamp_add("DAY", F.lit(-2), until), until).select(F.lit(s).alias("source"), "*")
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+@register("near_duplicate_sources")
+def _near_dup_sources(spark, sf):
+    mm, out = models(spark, sf), None
+    for s in MONITORED:
+        v = Q.near_duplicates(mm.raw[s]).select(F.lit(s).alias("source"), "*")
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+@register("dq_required_keys_sources")
+def _dq_required_sources(spark, sf):
+    """Required keys of every monitored source, and one that no payload has."""
+    mm, out = models(spark, sf), None
+    for s in MONITORED:
+        v = Q.required_keys(mm.raw[s], [*fixed.EXPECTED_KEYS[s], "absent_key"]).select(F.lit(s).alias("source"), "*")
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
 @register("dq_required_keys")
 def _dq_required(spark, sf):
     raw = models(spark, sf).raw["match_completed"]
@@ -187,6 +218,18 @@ def _usage_daily(spark, sf):
                    {"credits_used": 6, "credits_compute": 6, "credits_cloud": 6})
 
 
+@register("usage_month_to_date")
+def _usage_mtd(spark, sf):
+    met, _, _ = _logs(spark, sf)
+    return rounded(U.usage_month_to_date(met, _max(met, "start_time")), {"credits_used": 6})
+
+
+@register("usage_by_warehouse")
+def _usage_by_wh(spark, sf):
+    met, _, _ = _logs(spark, sf)
+    return rounded(U.usage_by_warehouse(met), {"total_credits": 6})
+
+
 @register("usage_rolling_avg")
 def _usage_roll(spark, sf):
     met, _, _ = _logs(spark, sf)

@@ -15,7 +15,7 @@ from gamelake.operators import quality as Q
 from gamelake.operators.dedup import latest_by
 from gamelake.operators.joins import date_spine, flatten, retention_flags, spine_parts, with_dim
 from gamelake.operators.rolling import period_delta, rolling_avg, rolling_distinct, running_total, share_of_total
-from gamelake.operators.stats import exact_percentile
+from gamelake.operators.stats import exact_percentile_spread
 from gamelake.plans import reports as RPT
 from gamelake.plans import usage as U
 from gamelake.plans.catalog import models, register, rounded
@@ -283,9 +283,24 @@ def _agg_basic(spark, sf):
 @register("agg_count_distinct")
 def _agg_cd(spark, sf):
     s = models(spark, sf).stg_sessions.withColumn("d", F.to_date("event_timestamp"))
-    p = s.groupBy("d").agg(F.countDistinct("player_id").alias("players"))
-    x = s.groupBy("d").agg(F.countDistinct("session_id").alias("sessions"))
-    return p.join(x, "d").withColumnRenamed("d", "activity_date")
+    return s.groupBy(F.col("d").alias("activity_date")).agg(
+        F.countDistinct("player_id").alias("players"), F.countDistinct("session_id").alias("sessions"))
+
+
+@register("agg_distinct_rollup")
+def _agg_rollup(spark, sf):
+    """Monthly players from stored daily sketches, next to the exact count and within 3 % of it."""
+    from gamelake.operators.incremental import materialize
+    from gamelake.operators.stats import distinct_rollup, distinct_sketches
+    from gamelake.session import scratch_path
+    import uuid
+    s = models(spark, sf).stg_sessions.select("player_id", F.to_date("event_timestamp").alias("activity_date"))
+    daily = materialize(spark, distinct_sketches(s, ["activity_date"], "player_id"), "sketches", "table",
+                        scratch_path(spark, "out", "sketches-" + uuid.uuid4().hex[:8]))
+    rolled = distinct_rollup(daily, F.trunc("activity_date", "month").alias("month"), "estimate")
+    exact = s.groupBy(F.trunc("activity_date", "month").alias("month")).agg(F.countDistinct("player_id").alias("players"))
+    return exact.join(rolled, "month").select(
+        "month", "players", (F.abs(F.col("estimate") - F.col("players")) <= 0.03 * F.col("players")).alias("within_error"))
 
 
 @register("agg_count_distinct_approx")
@@ -330,7 +345,7 @@ def _agg_stddev(spark, sf):
 @register("agg_median")
 def _agg_median(spark, sf):
     e = models(spark, sf).int_match_enriched
-    return exact_percentile(e, ["survivor_character_id"], "survivor_score", 0.5, "median_score")
+    return exact_percentile_spread(e, ["survivor_character_id"], "survivor_score", 0.5, "median_score")
 
 
 @register("agg_rate")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gamelake.functions.semantics import path_string_array, to_array, to_string_array
-from gamelake.operators.dedup import latest_by
+from gamelake.operators.dedup import latest_by_tied
 
 
 
@@ -44,14 +44,13 @@ def _dedup(raw: DataFrame, key_path: str = "$.event_id") -> DataFrame:
     The key is read from the payload; rows without it are dropped (the staging NULL-key
     filter). Deduplicating first shuffles the compact VARIANT binary instead of the
     wide typed rows (nested arrays of structs), and only winners are parsed. Rows of one
-    file and load time are told apart by a hash of the payload, so that the winner does not
-    depend on the order of the input.
+    file and load time are told apart by a hash of the payload, made only for those, so that
+    the winner does not depend on the order of the input.
     """
     k = vget(key_path, "string")
     keyed = raw.withColumn("_key", k).where(F.col("_key").isNotNull())
-    return latest_by(keyed, "_key",
-                     [F.col("load_ts").desc_nulls_first(), F.col("filename").desc_nulls_first(),
-                      F.xxhash64(F.to_json("raw_data"))]).drop("_key")
+    return latest_by_tied(keyed, "_key", [F.col("load_ts").desc_nulls_first(), F.col("filename").desc_nulls_first()],
+                          F.xxhash64(F.to_json("raw_data"))).drop("_key")
 
 
 SURVIVOR_TYPE = ("array<struct<player_id string, platform_player_id string, character_id string, escaped boolean, "

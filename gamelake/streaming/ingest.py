@@ -56,16 +56,16 @@ def stream_dedup(sdf: DataFrame, key: str = "event_id", ts: str = "event_timesta
 def merge_batch(spark: SparkSession, target_path: str, key: str = "event_id", part_col: str = "event_date",
                 transform=None):
     """A ``foreachBatch`` function: stage the micro-batch (optional ``transform``), keep the
-    last load per key inside the batch, and upsert it into the touched date partitions
+    last load per key inside the batch (rows of one file and load time are told apart by a
+    hash, not by their order), and upsert it into the touched date partitions
     of ``target_path`` (STR-3). Late events are picked up because batches are cut by
     load time, not event time. Re-running a batch id rewrites the same partitions with
     the same rows, so a retried batch is harmless."""
-    from gamelake.operators.dedup import latest_by
+    from gamelake.operators.dedup import latest_by, load_order
 
     def run(batch: DataFrame, batch_id: int) -> None:
         b = transform(batch) if transform else batch
-        b = latest_by(b.where(F.col(key).isNotNull()), key,
-                      [F.col("load_ts").desc_nulls_first(), F.col("filename").desc_nulls_first()])
+        b = latest_by(b.where(F.col(key).isNotNull()), key, load_order(b.columns))
         b = b.withColumn(part_col, F.to_date("event_timestamp"))
         merge_into_partitions(spark, b, target_path, key, part_col)
     return run

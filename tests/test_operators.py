@@ -89,3 +89,37 @@ def test_session_metrics_hot_session_one_row_per_login(spark):
     assert len(hot) == 1 and hot[0].event_count == 400 and hot[0].logout_at == base + dt.timedelta(seconds=399 * 30)
     cold = m.where("session_id = 'cold'").first()
     assert (cold.session_duration_seconds, cold.actions_per_minute) == (0, 0.0)
+
+
+def test_percentile_of_a_hot_group_is_spread_and_exact(spark):
+    import random
+    import statistics
+    from conftest import plan_text
+    from gamelake.operators.stats import exact_percentile, exact_percentile_spread
+    rnd = random.Random(2)
+    data = [("hot", rnd.random() ** 3 * 1e6) for _ in range(5000)] + [("hot", 5.0)] * 3000 + [("one", 4.0), (None, 1.0), (None, 2.0), ("none", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    got = {r["g"]: r["percentile"] for r in exact_percentile_spread(df, ["g"], "v").collect()}
+    assert got == {"hot": statistics.median(v for g, v in data if g == "hot"), "one": 4.0, None: 1.5}
+    for p in (0.0, 0.25, 0.9, 1.0):
+        a, b = exact_percentile_spread(df, ["g"], "v", p), exact_percentile(df, ["g"], "v", p)
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert exact_percentile_spread(df.limit(0), ["g"], "v").count() == 0
+    plan = plan_text(exact_percentile_spread(df, ["g"], "v"))
+    assert "windowspecdefinition(g" in plan and "_range" in plan
+
+
+def test_sketches_roll_up(spark):
+    from gamelake.operators.stats import distinct_rollup, distinct_sketches
+    df = spark.range(40000).selectExpr("id % 10 AS day", "id % 20000 AS player")
+    days = distinct_sketches(df, ["day"], "player")
+    n = distinct_rollup(days, F.lit(1).alias("all")).first()["n_distinct"]
+    assert days.count() == 10 and abs(n - 20000) < 600
+
+
+def test_dear_tie_break_only_for_ties(spark):
+    from gamelake.operators.dedup import latest_by, latest_by_tied
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", 0, "z"), ("b", 2, "x"), ("b", 1, "w"), (None, 1, "n")], "k string, o int, v string")
+    tie = F.xxhash64("v")
+    assert sorted(map(str, latest_by_tied(df, "k", [F.col("o").desc()], tie).collect())) == \
+        sorted(map(str, latest_by(df, "k", [F.col("o").desc(), tie]).collect()))

@@ -72,7 +72,52 @@ def test_out_of_order_hot_session_matches_window(spark):
         data.append((sess, f"e{i:05d}", base + dt.timedelta(seconds=rnd.randrange(100000)),
                      base + dt.timedelta(seconds=i * 7 + rnd.randrange(5))))
     df = spark.createDataFrame(data, "session_id string, event_id string, event_timestamp timestamp_ntz, load_ts timestamp_ntz")
-    got = rows(Q.out_of_order(df, partitions=16), "event_id", "prev_event_timestamp")
+    got = rows(Q.out_of_order(df), "event_id", "prev_event_timestamp")
     w = Window.partitionBy("session_id").orderBy("load_ts", "event_id")
     ref = df.withColumn("p", F.lag("event_timestamp").over(w)).where(F.col("event_timestamp") < F.col("p"))
     assert got == rows(ref, "event_id", "p")
+
+
+def test_out_of_order_needs_no_python_and_splits_a_session(spark):
+    from conftest import plan_text
+    base = T(2024, 1, 1)
+    df = spark.createDataFrame([("bot" if i % 5 else None, f"e{i:03d}", base + dt.timedelta(minutes=(i * 37) % 500), None if i < 3 else base + dt.timedelta(minutes=i * 9))
+                                for i in range(200)],
+                               "session_id string, event_id string, event_timestamp timestamp_ntz, load_ts timestamp_ntz")
+    from pyspark.sql import Window
+    w = Window.partitionBy("session_id").orderBy(F.col("load_ts").asc_nulls_first(), "event_id")
+    ref = df.withColumn("p", F.lag("event_timestamp").over(w)).where(F.col("event_timestamp") < F.col("p"))
+    for unit in ("minute", "hour", "day"):
+        got = Q.out_of_order(df, bucket=unit)
+        assert rows(got, "event_id", "prev_event_timestamp") == rows(ref, "event_id", "p")
+    plan = plan_text(Q.out_of_order(df))
+    assert "Python" not in plan and "MapInPandas" not in plan and "_bucket" in plan
+
+
+def test_silent_hours_inside_a_window(spark):
+    df = spark.createDataFrame([(T(2024, 1, 1, 5),), (T(2024, 1, 1, 5),), (T(2024, 1, 1, 8),), (T(9999, 1, 1),), (T(1, 1, 1),), (None,)], "ts timestamp_ntz")
+    got = Q.min_rows_per_hour(df, "ts", 2, F.lit("2024-01-01 04:30:00"), F.lit("2024-01-01 09:10:00"))
+    assert rows(got) == [(T(2024, 1, 1, h), 1 if h == 8 else 0) for h in (4, 6, 7, 8, 9)]
+    empty = Q.min_rows_per_hour(df.limit(0), "ts", 1, F.lit("2024-01-01 00:00:00"), F.lit("2024-01-01 01:00:00"))
+    assert rows(empty) == [(T(2024, 1, 1, 0), 0), (T(2024, 1, 1, 1), 0)]
+    assert Q.min_rows_per_hour(df.limit(0), "ts", 1).count() == 0
+
+
+def test_keys_are_read_without_text(spark):
+    from conftest import plan_text
+    raw = spark.sql("""select try_parse_json(j) raw_data, timestamp_ntz'2024-01-01 00:00:00' load_ts from values
+      ('{"a":1,"b":null}'), ('{"a":2,"c":{"b":1}}'), ('[1,2]'), ('7'), ('{}'), ('bad'), (null) as t(j)""")
+    assert {r.key: r.missing_rows for r in Q.required_keys(raw, ["a", "b", "z"]).collect()} == {"a": 5, "b": 6, "z": 7}
+    assert rows(Q.schema_drift(spark, raw, ["a", "z"])) == [("b", "new"), ("c", "new"), ("z", "missing")]
+    for df in (Q.required_keys(raw, ["a"]), Q.schema_drift(spark, raw, ["a"])):
+        assert "to_json" not in plan_text(df) and "StructsToJson" not in plan_text(df)
+    assert {r.key: r.missing_rows for r in Q.required_keys(raw.limit(0), ["a"]).collect()} == {"a": 0}
+
+
+def test_account_map_does_not_depend_on_input_order(spark):
+    lines = [f'{{"bhvr_id":"b1","platform_accounts":[{{"platform":"p","platform_player_id":"x{i}"}}]}}' for i in range(6)]
+    def of(order):
+        df = spark.createDataFrame([(j,) for j in order], "j string").coalesce(1)
+        return Q.account_map(df.select(F.parse_json("j").alias("raw_data"), F.lit("f").alias("filename"),
+                                       F.lit("2024-01-01").cast("timestamp_ntz").alias("load_ts")))
+    assert rows(of(lines), "platform_player_id") == rows(of(lines[::-1]), "platform_player_id")
