@@ -76,7 +76,7 @@ def main() -> None:
     xs = []
     for _ in range(REPEAT):
         t0 = time.perf_counter()
-        m = Models(spark, raw, materialize=True)
+        m = Models(spark, raw, as_of="latest", materialize=True)
         for name in layers:
             getattr(m, name)
         xs.append(time.perf_counter() - t0)
@@ -89,12 +89,12 @@ def main() -> None:
     builders = {
         "fct_dau_mau": lambda: PP.fct_dau_mau(m.int_player_daily_activity),
         "fct_player_retention": lambda: PP.fct_player_retention(
-            II.int_player_first_last(m.stg_sessions, m.stg_players), m.int_player_daily_activity),
+            II.int_player_first_last(m.stg_sessions, m.stg_players, "latest"), m.int_player_daily_activity),
         "fct_player_lifetime": lambda: PP.fct_player_lifetime(
-            II.int_player_first_last(m.stg_sessions, m.stg_players), m.stg_store_transactions,
+            II.int_player_first_last(m.stg_sessions, m.stg_players, "latest"), m.stg_store_transactions,
             II.int_session_metrics(m.stg_sessions), m.int_match_enriched),
         "dim_players": lambda: PP.dim_players(m.stg_players, PP.fct_player_lifetime(
-            II.int_player_first_last(m.stg_sessions, m.stg_players), m.stg_store_transactions,
+            II.int_player_first_last(m.stg_sessions, m.stg_players, "latest"), m.stg_store_transactions,
             II.int_session_metrics(m.stg_sessions), m.int_match_enriched), m.stg_mmr_updates),
         "fct_match_outcomes": lambda: MM.fct_match_outcomes(m.stg_matches, m.seed("seed_killers")),
         "fct_perk_performance": lambda: MM.fct_perk_performance(m.stg_matches, m.int_match_enriched, m.seed("seed_perks")),
@@ -118,7 +118,7 @@ def main() -> None:
     timed("dedup_row_number", lambda: latest_by(mmr, "player_id", [F.col("event_timestamp").desc_nulls_first(),
                                                                    F.col("event_id").desc()]))
     timed("dedup_max_by", lambda: latest_by_max(mmr, "player_id", "event_timestamp", ["event_id", "mmr_after", "role"]))
-    cohort = II.int_player_first_last(m.stg_sessions, m.stg_players).select(
+    cohort = II.int_player_first_last(m.stg_sessions, m.stg_players, "latest").select(
         "player_id", F.col("first_seen_date").alias("cohort_date"))
     timed("retention_one_join", lambda: retention_flags(cohort, act, [1, 7, 30]))
 

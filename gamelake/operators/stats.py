@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gamelake.session import ensure_checkpoint_dir
+
 
 def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: float = 0.5,
                      out_col: str = "percentile") -> DataFrame:
@@ -45,10 +47,12 @@ def exact_percentile_spread(df: DataFrame, group_cols: list[str], value_col: str
     each (bounds from a mergeable approximate quantile sketch; they only decide who works on
     what). Counts by range find the range that holds the wanted rank; the other ranges are
     dropped, and the rank is found inside the one that is left. No task holds more than
-    about one range of a group in its window, and the result is exact.
+    about one range of a group in its window, and the result is exact. The counts by value
+    are checkpointed: bounds, ranges and the last step read them, not ``df``.
     """
     v = F.col(value_col)
-    h = df.where(v.isNotNull()).groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_n"))
+    ensure_checkpoint_dir(df.sparkSession)
+    h = df.where(v.isNotNull()).groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
     cuts = [k / SPLITS for k in range(1, SPLITS)]
     bounds = h.groupBy(*group_cols).agg(F.percentile_approx(v, cuts, 20 * SPLITS).alias("_bounds"))
     ranged = _joined(h, bounds, group_cols).withColumn("_range", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds")

@@ -13,9 +13,12 @@ from gamelake.operators.joins import with_dim
 
 
 def as_of_date(as_of, frame: DataFrame | None = None, ts_col: str | None = None) -> Column:
-    """``as_of`` as a DATE column. None means the latest date in ``frame[ts_col]``,
-    evaluated once as an uncorrelated scalar subquery (one small aggregate job)."""
+    """``as_of`` as a DATE column. None means today, so that players age while a feed stands
+    still; "latest" means the latest date in ``frame[ts_col]``, an uncorrelated scalar
+    subquery (one small aggregate job), for data that has ended."""
     if as_of is None:
+        return F.current_date()
+    if isinstance(as_of, str) and as_of == "latest":
         return frame.select(F.max(F.to_date(ts_col))).scalar()
     if isinstance(as_of, Column):
         return F.to_date(as_of)
@@ -108,7 +111,7 @@ def int_revenue_daily(stg_store: DataFrame) -> DataFrame:
 def int_player_first_last(stg_sessions: DataFrame, stg_players: DataFrame, as_of=None) -> DataFrame:
     """Registered players with their first/last session dates; recency against ``as_of``.
 
-    ``as_of=None`` uses the latest session date in the data.
+    ``as_of``: a date, "latest" for the latest session date in the data, None for today.
     """
     d = F.to_date("event_timestamp")
     bounds = stg_sessions.groupBy("player_id").agg(

@@ -30,7 +30,9 @@ RAW_KINDS = ["match_completed", "session_event", "store_transaction", "mmr_updat
 class Models:
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of=None,
                  materialize: bool = False, seeds: dict[str, DataFrame] | None = None):
-        """``seeds`` replaces built-in lookups by name (``read_seed`` reads them from CSV)."""
+        """``as_of``: the date recency counts from (a date, "latest" in the data, or None: today).
+
+        ``seeds`` replaces built-in lookups by name (``read_seed`` reads them from CSV)."""
         self.spark, self.raw, self.as_of, self.materialize = spark, raw, as_of, materialize
         self.seeds = {n: unique_dim(d, SEED_KEYS[n]) for n, d in (seeds or {}).items()}
         self._run = uuid.uuid4().hex[:8]
@@ -38,6 +40,8 @@ class Models:
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str, **kw) -> "Models":
         from gamelake.sources.adapters import DriverTables
+        """Models over the driver tables, whose data has ended: recency as of their latest date."""
+        kw.setdefault("as_of", "latest")
         t = DriverTables(spark, sf_dir)
         raw = {k: getattr(t, f"raw_{k}")() for k in RAW_KINDS}
         m = cls(spark, raw, **kw)

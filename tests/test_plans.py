@@ -54,3 +54,40 @@ def test_variant_paths_are_pushed_into_the_bronze_scan(spark, tmp_path):
     p = _plan(stg_sessions(spark.read.parquet(str(tmp_path / "bronze"))).select("event_id", "action"))
     scan = [l for l in p.splitlines() if "ReadSchema" in l][0]
     assert "raw_data:struct<" in scan and "variant" not in scan.split("ReadSchema")[1].split("raw_data:struct")[0]
+
+
+def test_players_age_while_the_feed_stands_still(spark):
+    """Without ``as_of`` recency counts from today; "latest" counts from the data."""
+    import datetime as dt
+    from gamelake.functions.classify import churn_segment
+    from gamelake.plans.intermediate import int_player_first_last
+    days = {"p1": dt.datetime(2024, 1, 1), "p2": dt.datetime(2024, 1, 12), "p3": dt.datetime(2024, 1, 31), "p4": dt.datetime(2024, 2, 20)}
+    s = spark.createDataFrame(list(days.items()), "player_id string, event_timestamp timestamp_ntz")
+    p = s.select("player_id", F.lit("steam").alias("platform"), F.lit("eu").alias("region"), F.col("event_timestamp").alias("registered_at"))
+
+    def segments(as_of):
+        f = int_player_first_last(s, p, as_of)
+        return {r["player_id"]: r["s"] for r in f.select("player_id", churn_segment("days_since_last_seen").alias("s")).collect()}
+    assert segments("latest") == {"p1": "churned", "p2": "churned", "p3": "dormant", "p4": "active"}
+    assert segments("2024-01-20") == {"p1": "dormant", "p2": "at_risk", "p3": "active", "p4": "active"}
+    assert set(segments(None).values()) == {"churned"}
+
+
+def test_retention_of_several_cohorts_and_its_bounds(spark):
+    """Three weeks of cohorts, each with another share of returns; the bounds check finds a bad row."""
+    import datetime as dt
+    from gamelake.operators import quality as Q
+    from gamelake.plans.player import fct_player_retention
+    first, active = [], []
+    for w in range(3):
+        day = dt.date(2024, 1, 1) + dt.timedelta(days=7 * w)
+        for i in range(4):
+            first.append((f"c{w}p{i}", day))
+            active += [(f"c{w}p{i}", day + dt.timedelta(days=n)) for n in (1, 7, 30) if i < w + (n == 1)]
+    f = spark.createDataFrame(first, "player_id string, first_seen_date date")
+    a = spark.createDataFrame(active, "player_id string, activity_date date")
+    r = fct_player_retention(f, a)
+    got = {x["cohort_week"]: (x["cohort_size"], x["retained_d1"], x["retained_d7"], x["retained_d30"], float(x["retention_d1"])) for x in r.collect()}
+    assert got == {dt.date(2024, 1, 1): (4, 1, 0, 0, 0.25), dt.date(2024, 1, 8): (4, 2, 1, 1, 0.5), dt.date(2024, 1, 15): (4, 3, 2, 2, 0.75)}
+    assert Q.retention_bounds(r).count() == 0
+    assert Q.retention_bounds(r.withColumn("retention_d7", F.lit(1.5))).count() == 3
