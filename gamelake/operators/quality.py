@@ -196,10 +196,11 @@ def resolve_identity(df: DataFrame, id_col: str, registrations: DataFrame) -> Da
     return df.join(m, F.col(id_col) == F.col("_pid"), "left").drop("_pid")
 
 
-def account_map(registrations: DataFrame) -> DataFrame:
+def account_map(registrations: DataFrame, canonical_id: str = "$.bhvr_id") -> DataFrame:
+    """Every linked platform account with its canonical id (the payload's path is a parameter)."""
     from gamelake.operators.dedup import latest_by, load_order
     r = registrations.select(
-        F.try_variant_get("raw_data", "$.bhvr_id", "string").alias("canonical_id"),
+        F.try_variant_get("raw_data", canonical_id, "string").alias("canonical_id"),
         F.try_variant_get("raw_data", "$.platform_accounts",
                           "array<struct<platform string, platform_player_id string, display_name string, "
                           "is_primary boolean>>").alias("accounts"),

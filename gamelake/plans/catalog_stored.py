@@ -139,3 +139,24 @@ def _mart_spans(spark, sf):
     touched = stored.where(held).select(F.col("activity_date").alias("event_date")).distinct()
     return maintain_mart(spark, path, "metric_date", full, lambda target, spans: refresh_dau_mau_spans(target, stored, spans),
                          touched, days_after=fixed.MAU_DAYS - 1)
+
+
+@register("match_survivor_payloads")
+def _payloads(spark, sf):
+    """Survivor rows with fields read from their own whole payload, which staging keeps on request."""
+    e = models(spark, sf, complete=True).int_match_enriched
+    return e.select("match_id", "survivor_player_id", "survivor_score",
+                    F.try_variant_get("survivor_payload", "$.player_id", "string").alias("payload_player_id"),
+                    F.try_variant_get("survivor_payload", "$.score", "bigint").alias("payload_score"))
+
+
+@register("stored_marts")
+def _stored_marts(spark, sf):
+    """Every mart as a stored table: its number of rows."""
+    m = models(spark, sf, materialize=True)
+    out = None
+    for name in ("fct_dau_mau", "fct_player_retention", "fct_player_lifetime", "dim_players", "fct_match_outcomes",
+                 "fct_perk_performance", "fct_map_balance", "fct_mmr_distribution", "fct_daily_revenue", "fct_arpdau", "fct_store_conversion"):
+        n = getattr(m, name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("mart"), "rows")
+        out = n if out is None else out.unionByName(n)
+    return out

@@ -28,11 +28,17 @@ def as_of_date(as_of, frame: DataFrame | None = None, ts_col: str | None = None)
 
 
 def int_match_enriched(stg_matches: DataFrame, seed_killers: DataFrame, seed_survivors: DataFrame) -> DataFrame:
-    """One row per (match, survivor). Matches with no survivors drop out (inner flatten)."""
-    m = stg_matches.select(
-        "match_id", "event_timestamp", "map_id", "game_mode", "duration_seconds",
-        "killer_player_id", "killer_character_id", "killer_kills", "killer_hooks", "killer_score",
-        F.explode("survivors").alias("s"))
+    """One row per (match, survivor). Matches with no survivors drop out (inner flatten).
+
+    Where staging kept the whole payloads, each row has its own as ``survivor_payload`` (VARIANT).
+    """
+    own = ["match_id", "event_timestamp", "map_id", "game_mode", "duration_seconds", "killer_player_id",
+           "killer_character_id", "killer_kills", "killer_hooks", "killer_score"]
+    if "survivor_payloads" in stg_matches.columns:
+        both = F.explode(F.arrays_zip(F.col("survivors").alias("s"), F.col("survivor_payloads").alias("payload")))
+        m = stg_matches.select(*own, both.alias("x")).select(*own, F.col("x.s").alias("s"), F.col("x.payload").alias("survivor_payload"))
+    else:
+        m = stg_matches.select(*own, F.explode("survivors").alias("s"))
     flat = m.select(
         *[c for c in m.columns if c != "s"],
         F.col("s.player_id").alias("survivor_player_id"),

@@ -1,10 +1,9 @@
 """Wires the named models together from six bronze sources (the SURVEY section 0 graph).
 
 ``Models`` is lazy: each attribute is a DataFrame built on first use and shared by
-every mart that reads it. ``materialize=True`` writes the staging and intermediate
-layers as parquet tables under the shared checkpoint folder and reads them back, so
-marts start from stored tables instead of re-running the lineage (the reference's
-view-vs-table choice per layer).
+every mart that reads it. ``materialize=True`` writes every model as a parquet table
+under the shared checkpoint folder and reads it back, so marts start from stored tables
+instead of re-running the lineage, and the marts themselves are stored.
 """
 
 from __future__ import annotations
@@ -29,11 +28,12 @@ RAW_KINDS = ["match_completed", "session_event", "store_transaction", "mmr_updat
 
 class Models:
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of=None,
-                 materialize: bool = False, seeds: dict[str, DataFrame] | None = None):
+                 materialize: bool = False, seeds: dict[str, DataFrame] | None = None, complete: bool = False):
         """``as_of``: the date recency counts from (a date, "latest" in the data, or None: today).
 
         ``seeds`` replaces built-in lookups by name (``read_seed`` reads them from CSV)."""
         self.spark, self.raw, self.as_of, self.materialize = spark, raw, as_of, materialize
+        self.complete = complete  # whole survivor payloads beside the typed fields
         self.seeds = {n: unique_dim(d, SEED_KEYS[n]) for n, d in (seeds or {}).items()}
         self._run = uuid.uuid4().hex[:8]
 
@@ -59,7 +59,7 @@ class Models:
 
     # staging
     @cached_property
-    def stg_matches(self): return self._keep("stg_matches", S.stg_matches(self.raw["match_completed"]))
+    def stg_matches(self): return self._keep("stg_matches", S.stg_matches(self.raw["match_completed"], self.complete))
     @cached_property
     def stg_sessions(self): return self._keep("stg_sessions", S.stg_sessions(self.raw["session_event"]))
     @cached_property
@@ -70,7 +70,7 @@ class Models:
     @cached_property
     def stg_players(self): return self._keep("stg_players", S.stg_players(self.raw["player_registration"]))
     @cached_property
-    def stg_progression(self): return S.stg_progression(self.raw["progression_event"])
+    def stg_progression(self): return self._keep("stg_progression", S.stg_progression(self.raw["progression_event"]))
 
     # intermediate
     @cached_property
@@ -96,27 +96,33 @@ class Models:
     def fct_dau_mau(self): return self._keep("fct_dau_mau", P.fct_dau_mau(self.int_player_daily_activity))
     @cached_property
     def fct_player_retention(self):
-        return P.fct_player_retention(self.int_player_first_last, self.int_player_daily_activity)
+        return self._keep("fct_player_retention",
+                          P.fct_player_retention(self.int_player_first_last, self.int_player_daily_activity))
     @cached_property
     def fct_player_lifetime(self):
         return self._keep("fct_player_lifetime", P.fct_player_lifetime(
             self.int_player_first_last, self.stg_store_transactions, self.int_session_metrics, self.int_match_enriched))
     @cached_property
     def dim_players(self):
-        return P.dim_players(self.stg_players, self.fct_player_lifetime, self.stg_mmr_updates)
+        return self._keep("dim_players", P.dim_players(self.stg_players, self.fct_player_lifetime, self.stg_mmr_updates))
     @cached_property
-    def fct_match_outcomes(self): return M.fct_match_outcomes(self.stg_matches, self.seed("seed_killers"))
+    def fct_match_outcomes(self):
+        return self._keep("fct_match_outcomes", M.fct_match_outcomes(self.stg_matches, self.seed("seed_killers")))
     @cached_property
     def fct_perk_performance(self):
-        return M.fct_perk_performance(self.stg_matches, self.int_match_enriched, self.seed("seed_perks"))
+        return self._keep("fct_perk_performance",
+                          M.fct_perk_performance(self.stg_matches, self.int_match_enriched, self.seed("seed_perks")))
     @cached_property
-    def fct_map_balance(self): return M.fct_map_balance(self.stg_matches, self.seed("seed_maps"))
+    def fct_map_balance(self):
+        return self._keep("fct_map_balance", M.fct_map_balance(self.stg_matches, self.seed("seed_maps")))
     @cached_property
-    def fct_mmr_distribution(self): return M.fct_mmr_distribution(self.stg_mmr_updates)
+    def fct_mmr_distribution(self):
+        return self._keep("fct_mmr_distribution", M.fct_mmr_distribution(self.stg_mmr_updates))
     @cached_property
-    def fct_daily_revenue(self): return R.fct_daily_revenue(self.int_revenue_daily)
+    def fct_daily_revenue(self): return self._keep("fct_daily_revenue", R.fct_daily_revenue(self.int_revenue_daily))
     @cached_property
-    def fct_arpdau(self): return R.fct_arpdau(self.fct_dau_mau, self.fct_daily_revenue)
+    def fct_arpdau(self): return self._keep("fct_arpdau", R.fct_arpdau(self.fct_dau_mau, self.fct_daily_revenue))
     @cached_property
     def fct_store_conversion(self):
-        return R.fct_store_conversion(self.int_player_daily_activity, self.stg_store_transactions)
+        return self._keep("fct_store_conversion",
+                          R.fct_store_conversion(self.int_player_daily_activity, self.stg_store_transactions))

@@ -53,6 +53,7 @@ def _dedup(raw: DataFrame, key_path: str = "$.event_id") -> DataFrame:
                           F.xxhash64(F.to_json("raw_data"))).drop("_key")
 
 
+CANONICAL_ID = "$.bhvr_id"
 SURVIVOR_TYPE = ("array<struct<player_id string, platform_player_id string, character_id string, escaped boolean, "
                  "generators_completed double, score double, perks array<string>>>")
 
@@ -78,7 +79,11 @@ def _survivors() -> Column:
     return F.coalesce(fast, slow)
 
 
-def stg_matches(raw: DataFrame) -> DataFrame:
+def stg_matches(raw: DataFrame, complete: bool = False) -> DataFrame:
+    """Match events. ``complete`` adds ``survivor_payloads``: the whole survivors as
+    ``array<variant>``, element for element beside the typed ``survivors``, so that fields unknown
+    here live on (about the array's size again in storage).
+    """
     raw = _dedup(raw)
     parsed = raw.select(
         vget("$.event_id", "string").alias("event_id"),
@@ -94,6 +99,7 @@ def stg_matches(raw: DataFrame) -> DataFrame:
         _int("$.killer.hooks").alias("killer_hooks"),
         _int("$.killer.score").alias("killer_score"),
         _survivors().alias("survivors"),
+        *([to_array(F.variant_get(_raw(), "$.survivors", "variant")).alias("survivor_payloads")] if complete else []),
         "filename", "load_ts",
     )
     return parsed
@@ -150,12 +156,15 @@ def stg_mmr_updates(raw: DataFrame) -> DataFrame:
     return parsed
 
 
-def stg_players(raw: DataFrame) -> DataFrame:
-    """Latest registration per platform player id (the first linked account's id)."""
+def stg_players(raw: DataFrame, canonical_id: str = CANONICAL_ID) -> DataFrame:
+    """Latest registration per platform player id (the first linked account's id).
+
+    ``canonical_id``: the payload's path to the id that all accounts of a person share.
+    """
     raw = _dedup(raw, "$.platform_accounts[0].platform_player_id")
     parsed = raw.select(
         vget("$.platform_accounts[0].platform_player_id", "string").alias("player_id"),
-        vget("$.bhvr_id", "string").alias("bhvr_id"),
+        vget(canonical_id, "string").alias("bhvr_id"),
         ts().alias("registered_at"),
         vget("$.display_name", "string").alias("username"),
         vget("$.primary_platform", "string").alias("platform"),

@@ -139,3 +139,17 @@ def test_stored_mart_takes_in_a_late_row(spark, tmp_path):
                         lambda target, since: refresh_dau_mau(target, now, since), touched, "activity_date")
     assert rows(got) == rows(fct_dau_mau(frame(spark, act + late, s)))
     assert rows(maintain_mart(spark, path, "metric_date", fct_dau_mau(now), None, None)) == rows(got)
+
+
+def test_unknown_survivor_fields_live_on(spark):
+    from gamelake.plans.intermediate import int_match_enriched
+    from gamelake.plans.staging import stg_matches
+    from gamelake.sources.seeds import seed
+    raw = spark.sql("""select parse_json(j) raw_data, 'f' filename, timestamp_ntz'2024-01-01 00:00:00' load_ts from values
+      ('{"event_id":"a","match_id":"m1","survivors":[{"player_id":"s1","new_field":{"x":7}},{"player_id":"s2","perks":"p,q"}]}'),
+      ('{"event_id":"b","match_id":"m2","survivors":{"player_id":"s3","new_field":{"x":8}}}'),
+      ('{"event_id":"c","match_id":"m3","survivors":[]}'), ('{"event_id":"d","match_id":"m4"}') as t(j)""")
+    e = int_match_enriched(stg_matches(raw, complete=True), seed(spark, "seed_killers"), seed(spark, "seed_survivors"))
+    got = {r[0]: r[1] for r in e.select("survivor_player_id", F.try_variant_get("survivor_payload", "$.new_field.x", "int")).collect()}
+    assert got == {"s1": 7, "s2": None, "s3": 8}
+    assert "survivor_payloads" not in stg_matches(raw).columns
