@@ -65,7 +65,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte ranges of passages that repeat an earlier document, one row a range."""
-    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+    return passages.repeated_passages(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

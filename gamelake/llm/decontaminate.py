@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gamelake.llm import textvec
-from gamelake.llm.tables import stored
+from gamelake.llm.tables import free_name, stored
 
 SHINGLE = 5
 PCT = 80
@@ -145,7 +145,10 @@ def contained_items(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, p
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, **more) -> DataFrame:
-    """The documents that contain no item."""
-    leaks = stored(contained_items(docs, items, **more).select("doc_id").distinct(), "leaks")
-    leaks = leaks.select(F.col("doc_id").alias("__leaked"))
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(F.col("__leaked")), "left_anti")
+    """The documents that contain no item. Each row is judged by its own text, whatever its id."""
+    name = free_name(docs, "row_hash")
+    keyed = docs.withColumn(name, F.xxhash64("doc_id", "text"))
+    leaks = stored(contained_items(keyed.select(F.col(name).alias("doc_id"), "text"), items, **more)
+                   .select("doc_id").distinct(), "leaks")
+    leaking = free_name(keyed, "leaking_row")
+    return keyed.join(leaks.withColumnRenamed("doc_id", leaking), keyed[name] == F.col(leaking), "left_anti").drop(name)

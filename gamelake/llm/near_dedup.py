@@ -323,7 +323,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, pct: int = 80) -> DataFra
 def kept_documents(docs: DataFrame, shingle: int = 5, pct: int = 80) -> DataFrame:
     """One document of each group, the one with the smallest id.
 
-    Rows that share an id are one document, of which one row stays; rows without an id stay.
+    Of rows that share an id, those with different texts all stay where one of them does;
+    rows without an id stay.
     """
     rows = near_duplicates(docs, shingle, pct).where("doc_id IS NOT NULL")
     ids = stored(rows.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "groups")
@@ -331,5 +332,5 @@ def kept_documents(docs: DataFrame, shingle: int = 5, pct: int = 80) -> DataFram
     many = ids.where("kept AND n > 1").select("doc_id")
     if not many.take(1):
         return left
-    one = joined_ids(left, many, "left_semi").dropDuplicates(["doc_id"])
+    one = joined_ids(left, many, "left_semi").dropDuplicates(["doc_id", "text"])
     return joined_ids(left, many, "left_anti").unionByName(one)

@@ -1,4 +1,4 @@
-"""Substring dedup: passages that repeat across documents, by paragraph MinHash banding.
+"""Substring dedup: passages that repeat across documents, by colliding paragraphs and exact Jaccard.
 
 Paragraphs are content-defined, so that a passage pasted anywhere yields the same ones:
 a paragraph begins at a word whose pair hash is the least among its ``REACH`` neighbours
@@ -19,8 +19,13 @@ Only hashes and positions are shuffled; sums and minima combine first, so a pass
 is in a third of all documents costs one row a task; the join back is an equi-join that
 AQE splits when skewed.
 
+The texts are read four times: for the keys (stored as they come, then reduced to those that
+two different paragraphs share), for the sets of the few paragraphs left, for first
+documents, and for the repeats. Tables are deleted when they have been read.
+
 Cases: null and blank texts stay as they are; a passage repeated inside one document
-only is left alone; equal ids count as one document; a null id stays and loses nothing;
+only is left alone; rows of one id are one document for that, but each row is cut by its own
+ranges, found by its id and a hash of its text; a null id stays and loses nothing;
 an empty table gives an empty result; extra columns are kept by ``remove_passages``.
 """
 
@@ -35,12 +40,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gamelake.llm import near_dedup, textvec
-from gamelake.llm.tables import joined_ids, stored
+from gamelake.llm.tables import discard, free_name, joined_ids, stored
 
 SHINGLE, PCT = 5, 80
 REACH = 4
 MIN_WORDS = 16
-SPANS = "__spans"
+SPAN_BYTES = 32 << 20  # spans of all documents together that may be broadcast
 
 
 def prefix_keys(lists: np.ndarray, begin: np.ndarray, count: np.ndarray, wanted: np.ndarray,
@@ -80,7 +85,7 @@ def paragraph_starts(w: textvec.Words, reach: int = REACH) -> np.ndarray:
 
 
 def paragraphs(docs: DataFrame, pct: int | None = None) -> DataFrame:
-    """(doc_id, at, words, start, stop, own, keys): word and byte ranges, hash, and with ``pct`` keys.
+    """(doc_id, text_hash, at, words, start, stop, own, keys): word and byte ranges, hash, and with ``pct`` keys.
 
     Below ``floor`` shingles the similarity needs equal sets, which already share a class.
     """
@@ -98,14 +103,15 @@ def paragraphs(docs: DataFrame, pct: int | None = None) -> DataFrame:
                 doc = w.doc[at]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(a, b - a).take(pa.array(doc)),
+                    batch.column("text_hash").slice(a, b - a).take(pa.array(doc)),
                     pa.array((at - w.bounds()[doc]).astype(np.int32)), pa.array(size.astype(np.int32)),
                     pa.array(w.start[at] - offsets[doc]), pa.array(w.end[at + size - 1] - offsets[doc]),
                     pa.array(own.view(np.int64)),
                     textvec.long_lists(keys),
-                ], ["doc_id", "at", "words", "start", "stop", "own", "keys"])
+                ], ["doc_id", "text_hash", "at", "words", "start", "stop", "own", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL").mapInArrow(
-        run, "doc_id long, at int, words int, start long, stop long, own long, keys array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash")).where("doc_id IS NOT NULL").mapInArrow(
+        run, "doc_id long, text_hash long, at int, words int, start long, stop long, own long, keys array<long>")
 
 
 def _sliced(w: textvec.Words):
@@ -131,80 +137,89 @@ def _sliced(w: textvec.Words):
     return at, own, h, begin, count
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """(own, set) of all paragraphs of the texts."""
+def _sets(docs: DataFrame, pct: int) -> DataFrame:
+    """(own, set) of the paragraphs of the texts that are long enough for keys."""
+    least = math.ceil(1 / (1 - pct / 100) - 1e-9) + SHINGLE - 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in textvec.slices(batch.column("text")):
-                _, own, h, begin, count = _sliced(textvec.words(data, offsets, lower=True))
-                parts = [np.unique(h[b:b + c]) for b, c in zip(begin, count, strict=True)]
+                w = textvec.words(data, offsets, lower=True)
+                at, own, h, begin, count = _sliced(w)
+                some = np.flatnonzero(np.diff(np.append(at, len(w.doc))) >= least)
+                parts = [np.unique(h[begin[i]:begin[i] + count[i]]) for i in some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own.view(np.int64)), textvec.long_lists(parts)], ["own", "set"])
+                    [pa.array(own[some].view(np.int64)), textvec.long_lists(parts)], ["own", "set"])
 
     return docs.select("text").mapInArrow(run, "own long, set array<long>")
 
 
-def _near_parts(docs: DataFrame, classes: DataFrame, pct: int) -> DataFrame | None:
+def _near_parts(docs: DataFrame, pct: int) -> DataFrame | None:
     """Components (node, component) of the different paragraphs that reach the similarity."""
-    long = stored(paragraphs(docs, pct).select(F.col("own").alias("c1"), F.explode("keys").alias("key")).distinct(), "keys")
-    shared = (long.groupBy("key").agg(F.min("c1").alias("least"), F.max("c1").alias("last"))
+    if pct >= 100:
+        return None
+    every = stored(paragraphs(docs, pct).select(F.col("own").alias("c1"), F.explode("keys").alias("key")), "keys")
+    shared = (every.groupBy("key").agg(F.min("c1").alias("least"), F.max("c1").alias("last"))
               .where("least != last").select("key"))
-    members = stored(long.join(shared, "key").withColumn("part", F.col("c1")), "buckets")
-
-    def sets_of(asked: DataFrame) -> DataFrame:
-        asked = stored(asked.select(F.col("c1").alias("own")), "asked")
-        ids = classes.join(asked, "own").select(F.col("first.doc_id").alias("doc_id")).distinct()
-        return (_sets(joined_ids(docs, ids, "left_semi")).join(asked, "own", "left_semi")
-                .dropDuplicates(["own"]).withColumnRenamed("own", "c1"))
-
-    return near_dedup.settled(members, sets_of, pct)
+    members = stored(joined_ids(every, shared, "left_semi", "key").distinct().withColumn("part", F.col("c1")), "buckets")
+    discard(every)
+    open_ = members.select(F.col("c1").alias("own")).distinct()
+    sets = stored(joined_ids(_sets(docs, pct), open_, "left_semi", "own").dropDuplicates(["own"])
+                  .withColumnRenamed("own", "c1"), "sets")
+    parts = near_dedup.settled(members, lambda asked: sets.join(asked, "c1", "left_semi"), pct)
+    discard(members, sets)
+    return parts
 
 
 def repeated_passages(docs: DataFrame, pct: int = PCT, min_words: int = MIN_WORDS,
                       recall: float = 1.0) -> DataFrame:
-    """(doc_id, start, stop, words, first_doc): byte ranges that repeat an earlier document.
+    """(doc_id, text_hash, start, stop, words, first_doc): byte ranges that repeat an earlier document.
 
     The earliest document is the one with the least id. Every ``recall`` is met: no pair
     of paragraphs at the similarity is missed.
     """
-    found = paragraphs(docs)
-    classes = stored(found.groupBy("own").agg(
-        F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last_doc")), "classes")
-    parts = _near_parts(docs, classes, pct)
+    parts = _near_parts(docs, pct)
     if parts is None:
         parts = docs.sparkSession.createDataFrame([], "node long, component long")
-    parts = parts.withColumnRenamed("node", "own")
-    # Only classes that lie in two documents, or are linked to another class, can repeat.
-    named = classes.join(parts, "own", "left").select(
-        "own", "first", "last_doc", F.coalesce("component", "own").alias("component"),
-        F.col("component").isNotNull().alias("linked"))
-    named = stored(named.where("linked OR first.doc_id != last_doc"), "named")
-    least = named.groupBy("component").agg(F.min("first.doc_id").alias("first_doc"))
-    repeats = named.join(least, "component").select("own", "first_doc")
-    marked = found.drop("keys").join(repeats, "own").where("doc_id != first_doc")
-    order = Window.partitionBy("doc_id").orderBy("at")
+    found = paragraphs(docs)
+    ends = found.groupBy("own").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+    # Only paragraphs that lie in two documents, or are linked to another one, can repeat.
+    named = stored(ends.join(parts.withColumnRenamed("node", "own"), "own", "left")
+                   .where("component IS NOT NULL OR first_doc != last_doc")
+                   .select("own", "first_doc", F.coalesce("component", "own").alias("component")), "named")
+    least = named.groupBy("component").agg(F.min("first_doc").alias("first_doc"))
+    repeats = named.select("own", "component").join(least, "component").select("own", "first_doc")
+    marked = joined_ids(found.drop("keys"), repeats, "inner", "own").where("doc_id != first_doc")
+    order = Window.partitionBy("doc_id", "text_hash").orderBy("at")
     island = F.sum(F.when(F.lag("stop_at").over(order) == F.col("at"), 0).otherwise(1)).over(order)
-    runs = (marked.withColumn("stop_at", F.col("at") + F.col("words")).dropDuplicates(["doc_id", "at", "own"])
-            .withColumn("run", island).groupBy("doc_id", "run")
+    runs = (marked.withColumn("stop_at", F.col("at") + F.col("words")).dropDuplicates(["doc_id", "text_hash", "at", "own"])
+            .withColumn("run", island).groupBy("doc_id", "text_hash", "run")
             .agg(F.min("start").alias("start"), F.max("stop").alias("stop"),
                  F.sum("words").alias("words"), F.min("first_doc").alias("first_doc")))
     return runs.where(F.col("words") >= min_words).drop("run")
 
 
 def spans(repeats: DataFrame) -> DataFrame:
-    """Per document its repeats in order, as one array."""
-    return repeats.groupBy("doc_id").agg(
+    """Per document row its repeats in order, as one array."""
+    return repeats.groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.collect_list(F.struct("start", "stop", "words", "first_doc"))).alias("spans"))
 
 
 def remove_passages(docs: DataFrame, **more) -> DataFrame:
-    """The documents with their repeated passages cut out; other columns stay."""
-    cut = stored(spans(repeated_passages(docs, **more)).withColumnRenamed("spans", SPANS), "spans")
+    """The documents with their repeated passages cut out; other columns stay.
+
+    The spans are broadcast up to ``SPAN_BYTES`` of them; beyond, it is a plain equi-join.
+    """
+    name, of_id, of_text = (free_name(docs, c) for c in ("spans", "of_id", "of_text"))
+    cut = stored(spans(repeated_passages(docs, **more)).select(
+        F.col("spans").alias(name), F.col("doc_id").alias(of_id), F.col("text_hash").alias(of_text)), "spans")
+    size = cut.agg(F.sum(16 + 32 * F.size(name))).first()[0] or 0
     raw, end = F.encode("text", "utf-8"), F.octet_length("text").cast("long")
     # What lies between two spans, before the first and behind the last.
-    stops = F.concat(F.array(F.lit(0).cast("long")), F.transform(SPANS, lambda s: s["stop"]))
-    starts = F.concat(F.transform(SPANS, lambda s: s["start"]), F.array(end))
+    stops = F.concat(F.array(F.lit(0).cast("long")), F.transform(name, lambda s: s["stop"]))
+    starts = F.concat(F.transform(name, lambda s: s["start"]), F.array(end))
     parts = F.zip_with(stops, starts, lambda a, b: F.substring(raw, a.cast("int") + 1, (b - a).cast("int")))
     text = F.aggregate(parts, F.lit("").cast("binary"), lambda x, y: F.concat(x, y)).cast("string")
-    both = joined_ids(docs, cut, "left")
-    return both.withColumn("text", F.when(F.col(SPANS).isNotNull(), text).otherwise(F.col("text"))).drop(SPANS)
+    both = docs.join(F.broadcast(cut) if size <= SPAN_BYTES else cut,
+                     (docs["doc_id"] == F.col(of_id)) & (F.xxhash64(docs["text"]) == F.col(of_text)), "left")
+    return both.withColumn("text", F.when(F.col(name).isNotNull(), text).otherwise(F.col("text"))).drop(name, of_id, of_text)

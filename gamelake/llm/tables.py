@@ -63,7 +63,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    table = spark.read.schema(schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote, when nothing reads them any more."""
+    for t in tables:
+        sc = t.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(t.stored_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def words(text: Column) -> Column:
@@ -83,10 +101,12 @@ def joined_ids(docs: DataFrame, side: DataFrame, how: str, on: str = "doc_id") -
     """Documents joined with a narrow table of ids.
 
     The table is counted first: up to ``BROADCAST_ROWS`` rows it is broadcast, so the texts
-    stay where they are; beyond, it is a plain equi-join that AQE splits when skewed.
+    stay where they are; beyond, it is a plain equi-join that AQE splits when skewed. ``on``
+    names the id on both sides.
     """
     side = stored(side, "ids")
     few = side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    side = side.withColumnRenamed(on, "__id")
-    joined = docs.join(F.broadcast(side) if few else side, docs["doc_id"] == F.col("__id"), how)
-    return joined.drop("__id")
+    name = free_name(docs, "other_id")
+    side = side.withColumnRenamed(on, name)
+    joined = docs.join(F.broadcast(side) if few else side, docs[on] == F.col(name), how)
+    return joined.drop(name)

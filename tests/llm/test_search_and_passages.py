@@ -189,3 +189,28 @@ def test_all_near_paragraphs_link_by_default(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     got = {(r["doc_id"], r["first_doc"], r["words"]) for r in passages.repeated_passages(df, min_words=1).collect()}
     assert got == {(d, d - 1, n) for d, n in size.items()}
+
+
+def test_rows_of_one_id_keep_their_own_text(spark):
+    """Repeated and null ids, and columns named like helpers: no row is lost or cut for another's sake."""
+    from gamelake.llm import decontaminate, near_dedup
+    rng = random.Random(12)
+
+    def text(n):
+        return " ".join(f"y{rng.randrange(10**6)}" for _ in range(n))
+    t, u, passage = text(64), text(64), text(80)
+    schema = "doc_id long, text string, other_id string, spans string, row_hash string"
+    rows = [(1, passage + " " + text(30)), (2, text(20) + " " + passage), (2, t), (None, passage), (None, u)]
+    df = spark.createDataFrame([(i, x, "o", "s", "r") for i, x in rows], schema)
+    out = passages.remove_passages(df).collect()
+    got = {(r["doc_id"], r["text"]) for r in out}
+    assert (2, t) in got and (None, passage) in got and (None, u) in got and rows[0] in got and rows[1] not in got and len(out) == 5
+    assert set(out[0].asDict()) == {"doc_id", "text", "other_id", "spans", "row_hash"} and out[0]["spans"] == "s"
+
+    item = spark.createDataFrame([(7, u)], "item_id long, text string")
+    left = {(r["doc_id"], r["text"]) for r in decontaminate.clean_documents(df, item).collect()}
+    assert left == {r for r in rows if r[1] != u}
+
+    near = u.rsplit(" ", 1)[0] + " last"
+    twins = spark.createDataFrame([(1, t), (1, u), (9, near), (8, t)], "doc_id long, text string")
+    assert {(r["doc_id"], r["text"]) for r in near_dedup.kept_documents(twins).collect()} == {(1, t), (1, u)}
