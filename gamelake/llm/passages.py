@@ -1,27 +1,27 @@
-"""Substring dedup: passages that repeat across documents, by colliding paragraphs and exact Jaccard.
-
-Paragraphs are content-defined, so that a passage pasted anywhere yields the same ones:
-a paragraph begins at a word whose pair hash is the least among its ``REACH`` neighbours
-on either side. Each paragraph is the set of its ``SHINGLE``-word shingles.
-
-Equal paragraphs meet by a hash of their words. For the others the keys are so many of the
-least shingle hashes that two sets at the similarity have one in common (a prefix filter,
-which misses nothing). Of the paragraphs that collide all pairs of different components are
-settled by ``near_dedup.settled`` with exact Jaccard similarity on the full sets: first
-with leaders, then small buckets pairwise and large ones by blocks. Every paragraph whose component
-occurs first in another document is a repeat. Runs of neighbouring repeats with at least
-``MIN_WORDS`` words are removed, the first occurrence stays.
-
-A passage of 50 words holds about 33 words in complete paragraphs, boilerplate lines of
-a dozen words hold fewer than ``MIN_WORDS``.
-
-Only hashes and positions are shuffled; sums and minima combine first, so a passage that
-is in a third of all documents costs one row a task; the join back is an equi-join that
-AQE splits when skewed.
-
-The texts are read four times: for the keys (stored as they come, then reduced to those that
-two different paragraphs share), for the sets of the few paragraphs left, for first
-documents, and for the repeats. Tables are deleted when they have been read.
+"""Substring dedup: passages that repeat across documents, by banded paragraphs and exact Jaccard.
+
+Paragraphs are content-defined, so that a passage pasted anywhere yields the same ones: a
+paragraph begins at a word whose pair hash is the least among its ``reach`` neighbours on
+either side. There are two scales. Fine paragraphs (``FINE``, about 9 words) find equal
+text. Coarse ones (``COARSE``, about 41 words, each a row of fine ones) find edited text:
+the set of their ``SHINGLE``-word shingles gets a MinHash signature in bands of ``ROWS``,
+as many as ``RECALL`` asks for at the similarity (``bands``). Of the paragraphs that collide
+all pairs of different components are settled by ``near_dedup.settled`` with exact Jaccard
+similarity on the full sets, and the links joined into components.
+
+Every paragraph whose component occurs first in another document is a repeat. Runs of
+repeats grow word by word on either side as far as the words equal those around the first
+occurrence, at most ``EDGE`` words; runs at most ``GAP`` words apart are one. Those of at
+least ``MIN_WORDS`` words are removed, the first occurrence stays. Equal paragraphs on either
+side are in the run already, so what is left to grow is part of one paragraph.
+
+Only hashes and positions are shuffled, and beside them the texts that hold a run or a first
+occurrence, once; sums and minima combine first, so a passage that is in a third of all
+documents costs one row a task; the join back is an equi-join that AQE splits when skewed.
+
+The texts are read five times: for the bands of distinct paragraphs, for the sets of the few that
+share one, for first documents, for the repeats, and for the words around the runs. Tables are
+deleted when they have been read.
 
 Cases: null and blank texts stay as they are; a passage repeated inside one document
 only is left alone; rows of one id are one document for that, but each row is cut by its own
@@ -43,34 +43,39 @@ from gamelake.llm import near_dedup, textvec
 from gamelake.llm.tables import discard, free_name, joined_ids, stored
 
 SHINGLE, PCT = 5, 80
-REACH = 4
+FINE, COARSE = 4, 20
+ROWS, RECALL = 2, 0.999
+EDGE, GAP = 32, 3
 MIN_WORDS = 16
-SPAN_BYTES = 32 << 20  # spans of all documents together that may be broadcast
-
-
-def prefix_keys(lists: np.ndarray, begin: np.ndarray, count: np.ndarray, wanted: np.ndarray,
-                pct: int) -> list[np.ndarray]:
-    """The least hashes of each wanted set: one more than it can lack at the similarity."""
-    of = np.repeat(np.arange(len(begin)), np.where(wanted, count, 0))
-    h = lists[np.repeat(wanted, count)]
-    order = np.lexsort((h, of))
-    of, h = of[order], h[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
-    of, h = of[new], h[new]
-    size = np.bincount(of, minlength=len(begin))
-    kept = np.where(size > 0, size + (-pct * size) // 100 + 1, 0)
-    rank = np.arange(len(h)) - (np.cumsum(size) - size)[of]
-    return np.split(h[rank < kept[of]], np.cumsum(kept)[:-1])
-
-
-def paragraph_starts(w: textvec.Words, reach: int = REACH) -> np.ndarray:
+SPAN_BYTES = 32 << 20  # spans or positions of all documents together that may be broadcast
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+
+
+def bands(pct: int, recall: float = RECALL) -> int:
+    """How many bands of ``ROWS`` let a pair at the similarity collide with that probability."""
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - (pct / 100) ** ROWS) - 1e-9))
+
+
+def band_keys(hashes: np.ndarray, begin: np.ndarray, n: int) -> np.ndarray:
+    """``n`` keys of each set; the sets lie one after the other, each from its ``begin`` on."""
+    odd = textvec.mix(np.arange(1, n * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+    out = np.zeros((len(begin), n), np.uint64)
+    for k in range(n):
+        key = np.full(len(begin), k, np.uint64)
+        for j in range(ROWS):
+            least = np.minimum.reduceat(hashes * odd[k * ROWS + j], begin)
+            key = textvec.mix(key * _STEP + textvec.mix(least))
+        out[:, k] = key
+    return out
+
+
+def paragraph_starts(w: textvec.Words, reach: int = FINE) -> np.ndarray:
     """First words of the paragraphs of all texts, in order."""
     n = len(w.doc)
     if not n:
         return np.zeros(0, np.int64)
     pair = w.hash.copy()
-    pair[1:] = textvec.mix(w.hash[:-1] * np.uint64(0xD6E8FEB86659FD93) + w.hash[1:])
+    pair[1:] = textvec.mix(w.hash[:-1] * _STEP + w.hash[1:])
     new = np.ones(n, bool)
     new[1:] = w.doc[1:] != w.doc[:-1]
     pair[new] = w.hash[new]  # not with the last word of the text before
@@ -84,85 +89,101 @@ def paragraph_starts(w: textvec.Words, reach: int = REACH) -> np.ndarray:
     return np.flatnonzero(new | (least & inside))
 
 
-def paragraphs(docs: DataFrame, pct: int | None = None) -> DataFrame:
-    """(doc_id, text_hash, at, words, start, stop, own, keys): word and byte ranges, hash, and with ``pct`` keys.
+def _owns(w: textvec.Words, at: np.ndarray, size: np.ndarray, reach: int) -> np.ndarray:
+    """Content hash of each paragraph: a sum over words, each mixed with its place; scales differ."""
+    place = (np.arange(len(w.doc)) - np.repeat(at, size)).astype(np.uint64)
+    total = np.add.reduceat(textvec.mix(w.hash + textvec.mix(place)), at)
+    return textvec.mix(total + size.astype(np.uint64) + textvec.mix(np.uint64([reach])))
 
-    Below ``floor`` shingles the similarity needs equal sets, which already share a class.
-    """
-    floor = 1 << 30 if pct is None or pct >= 100 else math.ceil(1 / (1 - pct / 100) - 1e-9)
 
+def paragraphs(docs: DataFrame, reaches: tuple[int, ...] = (FINE,)) -> DataFrame:
+    """(doc_id, text_hash, at, words, start, stop, own, reach): word and byte ranges and hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in textvec.slices(batch.column("text")):
                 w = textvec.words(data, offsets, lower=True)
-                at, own, lists, begin, count = _sliced(w)
-                if not len(at):
-                    continue
-                size = np.diff(np.append(at, len(w.doc)))
-                keys = prefix_keys(lists, begin, count, size >= floor + SHINGLE - 1, pct or 100)
-                doc = w.doc[at]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(a, b - a).take(pa.array(doc)),
-                    batch.column("text_hash").slice(a, b - a).take(pa.array(doc)),
-                    pa.array((at - w.bounds()[doc]).astype(np.int32)), pa.array(size.astype(np.int32)),
-                    pa.array(w.start[at] - offsets[doc]), pa.array(w.end[at + size - 1] - offsets[doc]),
-                    pa.array(own.view(np.int64)),
-                    textvec.long_lists(keys),
-                ], ["doc_id", "text_hash", "at", "words", "start", "stop", "own", "keys"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash")).where("doc_id IS NOT NULL").mapInArrow(
-        run, "doc_id long, text_hash long, at int, words int, start long, stop long, own long, keys array<long>")
+                for reach in reaches:
+                    at = paragraph_starts(w, reach)
+                    if not len(at):
+                        continue
+                    size = np.diff(np.append(at, len(w.doc)))
+                    doc = w.doc[at]
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column("doc_id").slice(a, b - a).take(pa.array(doc)),
+                        batch.column("text_hash").slice(a, b - a).take(pa.array(doc)),
+                        pa.array((at - w.bounds()[doc]).astype(np.int32)), pa.array(size.astype(np.int32)),
+                        pa.array(w.start[at] - offsets[doc]), pa.array(w.end[at + size - 1] - offsets[doc]),
+                        pa.array(_owns(w, at, size, reach).view(np.int64)), pa.array(np.full(len(at), reach, np.int32)),
+                    ], ["doc_id", "text_hash", "at", "words", "start", "stop", "own", "reach"])
+
+    return _rows(docs).mapInArrow(
+        run, "doc_id long, text_hash long, at int, words int, start long, stop long, own long, reach int")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, text_hash) of the rows with an id."""
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash")).where("doc_id IS NOT NULL")
+
+
+def _coarse(w: textvec.Words, pct: int):
+    """Hashes of the coarse paragraphs that are long enough to be near another one, their
+    shingles one after the other, and where each one's begin.
+
+    Below a number of shingles the similarity needs equal sets, which already are one paragraph.
+    """
+    at = paragraph_starts(w, COARSE)
+    size = np.diff(np.append(at, len(w.doc)))
+    least = math.ceil(1 / (1 - pct / 100) - 1e-9) + SHINGLE - 1
+    long = size >= least
+    if not long.any():
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    own, at, count = _owns(w, at, size, COARSE)[long], at[long], size[long] - SHINGLE + 1
+    m = len(w.doc) - SHINGLE + 1
+    h = w.hash[:m]
+    for j in range(1, SHINGLE):
+        h = textvec.mix(h * _STEP + w.hash[j:j + m])
+    begin = np.cumsum(count) - count
+    return own, h[np.repeat(at - begin, count) + np.arange(count.sum())], begin
+
+
+def _banded(docs: DataFrame, pct: int, recall: float) -> DataFrame:
+    """(c1, keys) of the coarse paragraphs."""
+    n = bands(pct, recall)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in textvec.slices(batch.column("text")):
+                own, h, begin = _coarse(textvec.words(data, offsets, lower=True), pct)
+                if len(own):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own.view(np.int64)), textvec.long_lists(list(band_keys(h, begin, n)))], ["c1", "keys"])
 
-def _sliced(w: textvec.Words):
-    """Paragraph starts, content hashes, and their shingles with where each one's begin and how many."""
-    at = paragraph_starts(w)
-    if not len(at):
-        return at, at.astype(np.uint64), at.astype(np.uint64), at, at
-    n = len(w.doc)
-    size = np.diff(np.append(at, n))
-    # The content hash: a sum over words, each mixed with its place in the paragraph.
-    place = (np.arange(n) - np.repeat(at, size)).astype(np.uint64)
-    own = textvec.mix(np.add.reduceat(textvec.mix(w.hash + textvec.mix(place)), at) + size.astype(np.uint64))
-    k = SHINGLE
-    count = np.maximum(size - k + 1, 1)
-    begin = np.concatenate([[0], np.cumsum(count)[:-1]])
-    item = np.repeat(at - begin, count) + np.arange(count.sum())
-    h = w.hash[item]
-    length = np.repeat(size, count)
-    for j in range(1, k):
-        more = j < length
-        nxt = w.hash[np.minimum(item + j, n - 1)]
-        h = np.where(more, textvec.mix(h * np.uint64(0xD6E8FEB86659FD93) + nxt), h)
-    return at, own, h, begin, count
+    return _rows(docs).select("text").mapInArrow(run, "c1 long, keys array<long>")
 
 
 def _sets(docs: DataFrame, pct: int) -> DataFrame:
-    """(own, set) of the paragraphs of the texts that are long enough for keys."""
-    least = math.ceil(1 / (1 - pct / 100) - 1e-9) + SHINGLE - 1
-
+    """(own, set) of the coarse paragraphs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in textvec.slices(batch.column("text")):
-                w = textvec.words(data, offsets, lower=True)
-                at, own, h, begin, count = _sliced(w)
-                some = np.flatnonzero(np.diff(np.append(at, len(w.doc))) >= least)
-                parts = [np.unique(h[begin[i]:begin[i] + count[i]]) for i in some]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[some].view(np.int64)), textvec.long_lists(parts)], ["own", "set"])
+                own, h, begin = _coarse(textvec.words(data, offsets, lower=True), pct)
+                if len(own):
+                    parts = [np.unique(x) for x in np.split(h, begin[1:])]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own.view(np.int64)), textvec.long_lists(parts)], ["own", "set"])
 
-    return docs.select("text").mapInArrow(run, "own long, set array<long>")
+    return _rows(docs).select("text").mapInArrow(run, "own long, set array<long>")
 
 
-def _near_parts(docs: DataFrame, pct: int) -> DataFrame | None:
-    """Components (node, component) of the different paragraphs that reach the similarity."""
+def _near_parts(docs: DataFrame, pct: int, recall: float) -> DataFrame | None:
+    """Components (node, component) of the different coarse paragraphs that reach the similarity."""
     if pct >= 100:
         return None
-    every = stored(paragraphs(docs, pct).select(F.col("own").alias("c1"), F.explode("keys").alias("key")), "keys")
-    shared = (every.groupBy("key").agg(F.min("c1").alias("least"), F.max("c1").alias("last"))
-              .where("least != last").select("key"))
+    classes = stored(_banded(docs, pct, recall).dropDuplicates(["c1"]), "classes")
+    every = classes.select("c1", F.explode("keys").alias("key"))
+    shared = every.groupBy("key").agg(F.min("c1").alias("least"), F.max("c1").alias("last")).where("least != last").select("key")
     members = stored(joined_ids(every, shared, "left_semi", "key").distinct().withColumn("part", F.col("c1")), "buckets")
-    discard(every)
+    discard(classes)
     open_ = members.select(F.col("c1").alias("own")).distinct()
     sets = stored(joined_ids(_sets(docs, pct), open_, "left_semi", "own").dropDuplicates(["own"])
                   .withColumnRenamed("own", "c1"), "sets")
@@ -171,32 +192,115 @@ def _near_parts(docs: DataFrame, pct: int) -> DataFrame | None:
     return parts
 
 
+def _joined_positions(docs: DataFrame, side: DataFrame, size: int) -> DataFrame:
+    """Rows of ``docs`` with what belongs to their id and text; broadcast up to ``SPAN_BYTES``."""
+    return _rows(docs).join(F.broadcast(side) if size <= SPAN_BYTES else side, ["doc_id", "text_hash"])
+
+
+def _around(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, at, side, hashes, bytes): the words outward from word border ``at``.
+
+    ``side`` 0 goes left, 1 right; the k-th hash is of the next k words, ``bytes`` where they end.
+    """
+    packed = stored(asked.groupBy("doc_id", "text_hash").agg(
+        F.collect_set(F.col("at") * 2 + F.col("side")).alias("borders")), "borders")
+    size = packed.agg(F.sum(24 + 4 * F.size("borders"))).first()[0] or 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in textvec.slices(batch.column("text")):
+                w = textvec.words(data, offsets, lower=True)
+                lists = batch.column("borders").slice(a, b - a)
+                doc = np.repeat(np.arange(b - a), lists.value_lengths().to_numpy())
+                border = lists.flatten().to_numpy()
+                at, right = border >> 1, (border & 1) == 1
+                first = w.bounds()
+                p, low, high = first[doc] + at, first[doc], first[doc + 1]
+                h, ends, hashes, more = np.zeros(len(doc), np.uint64), [], [], []
+                for k in range(EDGE):
+                    i = np.where(right, p + k, p - 1 - k)
+                    ok = (i >= low) & (i < high)
+                    i = np.clip(i, 0, max(len(w.doc) - 1, 0))
+                    h = textvec.mix(h * _STEP + w.hash[i])
+                    hashes.append(h)
+                    ends.append(np.where(right, w.end[i], w.start[i]) - offsets[doc])
+                    more.append(ok)
+                ok = np.array(more).T
+                stop = np.concatenate([[0], np.cumsum(ok.sum(1))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id").slice(a, b - a).take(pa.array(doc)),
+                    batch.column("text_hash").slice(a, b - a).take(pa.array(doc)),
+                    pa.array(at.astype(np.int32)), pa.array(right.astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(stop), pa.array(np.array(hashes).T[ok].view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(stop), pa.array(np.array(ends).T[ok])),
+                ], ["doc_id", "text_hash", "at", "side", "hashes", "bytes"])
+
+    return _joined_positions(docs, packed, size).select("doc_id", "text_hash", "text", "borders").mapInArrow(
+        run, "doc_id long, text_hash long, at int, side int, hashes array<long>, bytes array<long>").dropDuplicates(
+        ["doc_id", "text_hash", "at", "side"])
+
+
+def _islands(rows: DataFrame, gap: int) -> DataFrame:
+    """``rows`` with ``run``: ranges of words of one text that lie at most ``gap`` words apart have one number."""
+    before = Window.partitionBy("doc_id", "text_hash").orderBy("at", "stop_at").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("doc_id", "text_hash").orderBy("at", "stop_at")
+    begins = F.when(F.col("at") <= F.max("stop_at").over(before) + gap, 0).otherwise(1)
+    return rows.withColumn("begins", begins).withColumn("run", F.sum("begins").over(order)).drop("begins")
+
+
+def _grown(docs: DataFrame, runs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``runs`` with ``at``, ``stop_at``, ``start`` and ``stop`` moved outward over equal words."""
+    sides = F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("at").alias("at"), F.col("left_of").alias("component")),
+        F.struct(F.lit(1).alias("side"), F.col("stop_at").alias("at"), F.col("right_of").alias("component")))).alias("x")
+    edges = runs.select("doc_id", "text_hash", "run", sides).select("doc_id", "text_hash", "run", "x.*")
+    first = edges.select("component", "side").distinct().join(firsts, "component").select(
+        "component", "side", F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"),
+        F.when(F.col("side") == 0, F.col("first.at")).otherwise(F.col("first.stop_at")).alias("at"))
+    place = ["doc_id", "text_hash", "at", "side"]
+    around = stored(_around(docs, edges.select(place).unionByName(first.select(place))), "around")
+    model = first.join(around, place).select("component", "side", F.col("hashes").alias("model"))
+    same = F.size(F.filter(F.arrays_zip("hashes", "model"), lambda x: x["hashes"] == x["model"]))
+    moved = (edges.join(around, place).join(model, ["component", "side"]).withColumn("k", same).where("k > 0")
+             .select("doc_id", "text_hash", "run", "side", "k", F.element_at("bytes", F.col("k")).alias("byte"))
+             .groupBy("doc_id", "text_hash", "run").agg(
+                 *(F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{c}{side}") for side in (0, 1) for c in ("k", "byte"))))
+    return runs.join(moved, ["doc_id", "text_hash", "run"], "left").select(
+        "doc_id", "text_hash", "first_doc", (F.col("at") - F.coalesce("k0", F.lit(0))).alias("at"),
+        (F.col("stop_at") + F.coalesce("k1", F.lit(0))).alias("stop_at"),
+        F.coalesce("byte0", "start").alias("start"), F.coalesce("byte1", "stop").alias("stop"))
+
+
 def repeated_passages(docs: DataFrame, pct: int = PCT, min_words: int = MIN_WORDS,
-                      recall: float = 1.0) -> DataFrame:
+                      recall: float = RECALL) -> DataFrame:
     """(doc_id, text_hash, start, stop, words, first_doc): byte ranges that repeat an earlier document.
 
-    The earliest document is the one with the least id. Every ``recall`` is met: no pair
-    of paragraphs at the similarity is missed.
+    The earliest document is the one with the least id. ``recall`` is the least probability
+    that two coarse paragraphs at the similarity share a band.
     """
-    parts = _near_parts(docs, pct)
+    parts = _near_parts(docs, pct, recall)
+    found = paragraphs(docs, (FINE,) if parts is None else (FINE, COARSE))
     if parts is None:
         parts = docs.sparkSession.createDataFrame([], "node long, component long")
-    found = paragraphs(docs)
-    ends = found.groupBy("own").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
-    # Only paragraphs that lie in two documents, or are linked to another one, can repeat.
+    ends = found.groupBy("own").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.min("reach").alias("reach"))
+    # Only fine paragraphs that lie in two documents, and coarse ones linked to another, can repeat.
     named = stored(ends.join(parts.withColumnRenamed("node", "own"), "own", "left")
-                   .where("component IS NOT NULL OR first_doc != last_doc")
+                   .where(F.col("component").isNotNull() | ((F.col("reach") == FINE) & (F.col("first_doc") != F.col("last_doc"))))
                    .select("own", "first_doc", F.coalesce("component", "own").alias("component")), "named")
     least = named.groupBy("component").agg(F.min("first_doc").alias("first_doc"))
-    repeats = named.select("own", "component").join(least, "component").select("own", "first_doc")
-    marked = joined_ids(found.drop("keys"), repeats, "inner", "own").where("doc_id != first_doc")
-    order = Window.partitionBy("doc_id", "text_hash").orderBy("at")
-    island = F.sum(F.when(F.lag("stop_at").over(order) == F.col("at"), 0).otherwise(1)).over(order)
-    runs = (marked.withColumn("stop_at", F.col("at") + F.col("words")).dropDuplicates(["doc_id", "text_hash", "at", "own"])
-            .withColumn("run", island).groupBy("doc_id", "text_hash", "run")
-            .agg(F.min("start").alias("start"), F.max("stop").alias("stop"),
-                 F.sum("words").alias("words"), F.min("first_doc").alias("first_doc")))
-    return runs.where(F.col("words") >= min_words).drop("run")
+    repeats = named.select("own", "component").join(least, "component").select("own", "component", "first_doc")
+    marked = stored(joined_ids(found.drop("reach"), repeats, "inner", "own").withColumn("stop_at", F.col("at") + F.col("words")), "marked")
+    firsts = marked.where("doc_id = first_doc").groupBy("component").agg(
+        F.min(F.struct("doc_id", "text_hash", "at", "stop_at")).alias("first"))
+    later = marked.where("doc_id != first_doc").dropDuplicates(["doc_id", "text_hash", "at", "own"])
+    runs = stored(_islands(later, 0).groupBy("doc_id", "text_hash", "run").agg(
+        F.min("at").alias("at"), F.max("stop_at").alias("stop_at"), F.min("start").alias("start"), F.max("stop").alias("stop"),
+        F.min("first_doc").alias("first_doc"), F.min(F.struct("at", "component"))["component"].alias("left_of"),
+        F.max(F.struct("stop_at", "component"))["component"].alias("right_of")), "runs")
+    whole = _islands(_grown(docs, runs, firsts), GAP).groupBy("doc_id", "text_hash", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"),
+        (F.max("stop_at") - F.min("at")).alias("words"), F.min("first_doc").alias("first_doc"))
+    return whole.where(F.col("words") >= min_words).drop("run")
 
 
 def spans(repeats: DataFrame) -> DataFrame:

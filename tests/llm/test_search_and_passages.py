@@ -140,28 +140,150 @@ def test_crowded_paragraphs_settle(spark):
         sets += [np.concatenate([hot, own]), np.concatenate([hot, other])]
     sets += [np.concatenate([hot, np.sort(rng.integers(1 << 20, 1 << 60, 14, dtype=np.uint64))]) for _ in range(300)]
     lists, count = np.concatenate(sets), np.array([len(s) for s in sets])
-    keys = passages.prefix_keys(lists, np.cumsum(count) - count, count, np.ones(len(sets), bool), 80)
-    assert all(len(k) == 18 - 15 + 1 for k in keys)
+    keys = passages.band_keys(lists, np.cumsum(count) - count, 20)
+    keys[:, 0] = 5  # one bucket of all
+    keys = keys.view(np.int64)
     members = spark.createDataFrame([(int(k), i, i) for i, x in enumerate(keys) for k in x], "key long, c1 long, part long")
     full = spark.createDataFrame([(i, [int(x) for x in s]) for i, s in enumerate(sets)], "c1 long, set array<long>")
     parts = near_dedup.settled(members, lambda asked: full.join(asked, "c1", "left_semi"), 80)
     assert sorted(tuple(r) for r in parts.collect()) == [(i, i - i % 2) for i in range(120)]
 
 
-def test_no_near_paragraph_is_missed():
-    """Two sets at the similarity always share a key."""
+def test_bands_meet_the_recall():
+    """Sets at the similarity share a band as often as asked, unrelated ones seldom."""
     import numpy as np
     rng = np.random.default_rng(7)
-    for _ in range(500):
-        n = int(rng.integers(5, 60))
-        a = np.unique(rng.integers(0, 1 << 40, n, dtype=np.uint64))
-        b = np.unique(np.append(a[rng.permutation(len(a))[:int(rng.integers(len(a) * 4 // 5, len(a) + 1))]],
-                                rng.integers(0, 1 << 40, int(rng.integers(0, 8)), dtype=np.uint64)))
-        if 100 * len(np.intersect1d(a, b)) < 80 * len(np.union1d(a, b)):
-            continue
-        count = np.array([len(a), len(b)])
-        x, y = passages.prefix_keys(np.concatenate([a, b]), np.cumsum(count) - count, count, np.ones(2, bool), 80)
-        assert len(np.intersect1d(x, y))
+    assert passages.bands(80, 0.999) == 7 and passages.bands(80, 0.9) < passages.bands(80, 0.99)
+    met = far = 0
+    for _ in range(3000):
+        n = int(rng.integers(9, 60))
+        lost = n // 9  # n - lost of n + lost at 0.8 or more
+        a = rng.integers(0, 1 << 62, n, dtype=np.uint64) * np.uint64(3)
+        b = np.concatenate([a[lost:], rng.integers(0, 1 << 62, lost, dtype=np.uint64)])
+        c = rng.integers(0, 1 << 62, n, dtype=np.uint64)
+        x, y, z = passages.band_keys(np.concatenate([a, b, c]), np.array([0, n, 2 * n]), passages.bands(80, 0.999))
+        met += bool((x == y).any())
+        far += bool((x == z).any())
+    assert met >= 2991 and far <= 15
+
+
+def brute_passages(rows, pct, min_words):
+    """(doc_id, start, stop, words, first_doc) by comparing all paragraphs of distinct (doc_id, text) rows in pairs."""
+    import numpy as np
+    import pyarrow as pa
+
+    from gamelake.llm import textvec
+    items, words = [], {}
+    for doc, text in rows:
+        _, _, data, offsets = next(textvec.slices(pa.array([text])))
+        w = textvec.words(data, offsets, lower=True)
+        low = text.lower().split()
+        words[doc] = low, w.start.tolist(), w.end.tolist()
+        for reach in (passages.FINE, passages.COARSE):
+            at = [*passages.paragraph_starts(w, reach).tolist(), len(low)]
+            items += [(reach, doc, i, j, tuple(low[i:j])) for i, j in zip(at, at[1:], strict=False)]
+    nodes = sorted({(r, own) for r, *_, own in items})
+    part = {x: x for x in nodes}
+
+    def root(x):
+        while part[x] != x:
+            x = part[x]
+        return x
+    coarse = [(x, {x[1][k:k + 5] for k in range(len(x[1]) - 4)}) for x in nodes if x[0] == passages.COARSE and len(x[1]) >= 9]
+    for k, (x, sx) in enumerate(coarse):
+        for y, sy in coarse[:k]:
+            if 100 * len(sx & sy) >= pct * len(sx | sy):
+                part[root(x)] = root(y)
+    linked = {root(x) for x in nodes if root(x) != x}
+    places = {}
+    for reach, doc, i, j, own in items:
+        c = root((reach, own))
+        if reach == passages.FINE or c in linked:
+            places.setdefault(c, []).append((doc, i, j))
+    found = {}
+    for c, at in places.items():
+        first = min(at)
+        for doc, i, j in at:
+            if doc != first[0]:
+                found.setdefault(doc, []).append((i, j, first))
+    out = []
+    for doc, hits in found.items():
+        runs = []
+        for i, j, first in sorted(hits):
+            if runs and i <= runs[-1][1]:
+                runs[-1][1] = max(j, runs[-1][1])
+                runs[-1][2].append((i, j, first))
+            else:
+                runs.append([i, j, [(i, j, first)]])
+        low, start, end = words[doc]
+        merged = []
+        for i, j, parts in runs:
+            left, right = {x[2][:2] for x in parts if x[0] == i}, {x[2][::2] for x in parts if x[1] == j}
+            assert len(left) == 1 and len(right) == 1  # both scales begin and end at one place in these rows
+            (f, p), (g, q) = left.pop(), right.pop()
+            k = 0
+            while k < passages.EDGE and min(i - k, p - k) > 0 and low[i - k - 1] == words[f][0][p - k - 1]:
+                k += 1
+            m = 0
+            while m < passages.EDGE and j + m < len(low) and q + m < len(words[g][0]) and low[j + m] == words[g][0][q + m]:
+                m += 1
+            merged.append((i - k, j + m, min(x[2][0] for x in parts)))
+        merged.sort()
+        whole = [list(merged[0])]
+        for i, j, f in merged[1:]:
+            if i <= whole[-1][1] + passages.GAP:
+                whole[-1][1], whole[-1][2] = max(j, whole[-1][1]), min(f, whole[-1][2])
+            else:
+                whole.append([i, j, f])
+        out += [(doc, start[i], end[j - 1], j - i, f) for i, j, f in whole if j - i >= min_words]
+    return sorted(out)
+
+
+def edited_passages(seed, size, changed, pairs):
+    """Pairs of documents that share a passage with some words changed in the second, and (id: its words there)."""
+    rng = random.Random(seed)
+    text = lambda n: [f"p{rng.randrange(10**7)}" for _ in range(n)]
+    docs, where = [], {}
+    for _ in range(pairs):
+        passage = text(size)
+        other = [f"q{rng.randrange(10**7)}" if k in changed else x for k, x in enumerate(passage)]
+        for body in (passage, other):
+            a = text(rng.randrange(20, 120))
+            where[len(docs)] = (len(a), size)
+            docs.append((len(docs), " ".join(a + body + text(rng.randrange(20, 120)))))
+    return docs, where
+
+
+def test_whole_query_against_pairs(spark):
+    """The ranges equal those of a plain version that compares all paragraphs."""
+    docs = []
+    for k, (size, changed) in enumerate([(51, ()), (60, (30,)), (130, (20, 75)), (90, (88,))]):
+        docs += [(1000 * k + d, t) for d, t in edited_passages(30 + k, size, changed, 6)[0]]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for least in (1, passages.MIN_WORDS):
+        got = sorted((r["doc_id"], r["start"], r["stop"], r["words"], r["first_doc"])
+                     for r in passages.repeated_passages(df, min_words=least, recall=0.999999).collect())
+        assert len(got) >= 20 and got == brute_passages(docs, 80, least)
+
+
+def test_edited_passages_are_cut_whole(spark):
+    """Of passages with a changed word nine tenths of the words go, by the production parameters.
+
+    Of the words around them only those go that a near paragraph holds beside the passage.
+    """
+    for size, changed in [(51, ()), (51, (25,)), (60, (30,)), (60, (59,)), (100, (33, 66))]:
+        docs, where = edited_passages(size + len(changed), size, changed, 60)
+        cut, around, lost = dict.fromkeys(where, 0), 0, 0
+        left = {r["doc_id"]: r["text"].split() for r in passages.remove_passages(
+            spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+        for d, t in docs:
+            low, (at, n) = t.split(), where[d]
+            own = set(low[:at] + low[at + n:])
+            assert d % 2 or left[d] == low
+            around, lost = around + len(own), lost + len(own - set(left[d]))
+            cut[d] = len(low) - len(left[d])
+        assert lost <= 0.01 * around, (size, changed, lost, around)
+        assert sum(cut.values()) - lost >= 0.9 * 60 * size, (size, changed, sum(cut.values()) / (60 * size))
 
 
 def test_all_near_paragraphs_link_by_default(spark):
