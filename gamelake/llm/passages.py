@@ -44,7 +44,7 @@ from gamelake.llm.tables import discard, free_name, joined_ids, stored
 
 SHINGLE, PCT = 5, 80
 FINE, COARSE = 4, 20
-ROWS, RECALL = 2, 0.999
+ROWS, RECALL = 3, 0.999
 EDGE, GAP = 32, 3
 MIN_WORDS = 16
 SPAN_BYTES = 32 << 20  # spans or positions of all documents together that may be broadcast
@@ -97,7 +97,7 @@ def _owns(w: textvec.Words, at: np.ndarray, size: np.ndarray, reach: int) -> np.
 
 
 def paragraphs(docs: DataFrame, reaches: tuple[int, ...] = (FINE,)) -> DataFrame:
-    """(doc_id, text_hash, at, words, start, stop, own, reach): word and byte ranges and hash."""
+    """(doc_id, text_hash, at, words, own, reach): ranges of words and their hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in textvec.slices(batch.column("text")):
@@ -112,12 +112,11 @@ def paragraphs(docs: DataFrame, reaches: tuple[int, ...] = (FINE,)) -> DataFrame
                         batch.column("doc_id").slice(a, b - a).take(pa.array(doc)),
                         batch.column("text_hash").slice(a, b - a).take(pa.array(doc)),
                         pa.array((at - w.bounds()[doc]).astype(np.int32)), pa.array(size.astype(np.int32)),
-                        pa.array(w.start[at] - offsets[doc]), pa.array(w.end[at + size - 1] - offsets[doc]),
                         pa.array(_owns(w, at, size, reach).view(np.int64)), pa.array(np.full(len(at), reach, np.int32)),
-                    ], ["doc_id", "text_hash", "at", "words", "start", "stop", "own", "reach"])
+                    ], ["doc_id", "text_hash", "at", "words", "own", "reach"])
 
     return _rows(docs).mapInArrow(
-        run, "doc_id long, text_hash long, at int, words int, start long, stop long, own long, reach int")
+        run, "doc_id long, text_hash long, at int, words int, own long, reach int")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -181,8 +180,8 @@ def _near_parts(docs: DataFrame, pct: int, recall: float) -> DataFrame | None:
         return None
     classes = stored(_banded(docs, pct, recall).dropDuplicates(["c1"]), "classes")
     every = classes.select("c1", F.explode("keys").alias("key"))
-    shared = every.groupBy("key").agg(F.min("c1").alias("least"), F.max("c1").alias("last")).where("least != last").select("key")
-    members = stored(joined_ids(every, shared, "left_semi", "key").distinct().withColumn("part", F.col("c1")), "buckets")
+    shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")  # a class has a key once
+    members = stored(joined_ids(every, shared, "left_semi", "key").withColumn("part", F.col("c1")), "buckets")
     discard(classes)
     open_ = members.select(F.col("c1").alias("own")).distinct()
     sets = stored(joined_ids(_sets(docs, pct), open_, "left_semi", "own").dropDuplicates(["own"])
@@ -198,13 +197,14 @@ def _joined_positions(docs: DataFrame, side: DataFrame, size: int) -> DataFrame:
 
 
 def _around(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, at, side, hashes, bytes): the words outward from word border ``at``.
+    """(doc_id, text_hash, at, side, component, first, hashes, base, bytes): the words outward from border ``at``.
 
-    ``side`` 0 goes left, 1 right; the k-th hash is of the next k words, ``bytes`` where they end.
+    ``side`` 0 goes left, 1 right; the k-th hash is of the next k words, and the range that
+    ends at byte ``base`` ends ``bytes[k]`` further when it grows by k words.
     """
-    packed = stored(asked.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.col("at") * 2 + F.col("side")).alias("borders")), "borders")
-    size = packed.agg(F.sum(24 + 4 * F.size("borders"))).first()[0] or 0
+    packed = stored(asked.groupBy("doc_id", "text_hash").agg(F.collect_set(
+        F.struct((F.col("at") * 2 + F.col("side")).alias("border"), "component", "first")).alias("borders")), "borders")
+    size = packed.agg(F.sum(24 + 16 * F.size("borders"))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,32 +212,36 @@ def _around(docs: DataFrame, asked: DataFrame) -> DataFrame:
                 w = textvec.words(data, offsets, lower=True)
                 lists = batch.column("borders").slice(a, b - a)
                 doc = np.repeat(np.arange(b - a), lists.value_lengths().to_numpy())
-                border = lists.flatten().to_numpy()
+                border, component, first = lists.flatten().flatten()
+                border = border.to_numpy()
                 at, right = border >> 1, (border & 1) == 1
-                first = w.bounds()
-                p, low, high = first[doc] + at, first[doc], first[doc + 1]
-                h, ends, hashes, more = np.zeros(len(doc), np.uint64), [], [], []
+                bounds, last = w.bounds(), len(w.doc) - 1
+                p, low, high = bounds[doc] + at, bounds[doc], bounds[doc + 1]
+                base = np.where(right, w.end[p - 1], w.start[np.minimum(p, last)])
+                h, hashes, ends, more = np.zeros(len(doc), np.uint64), [], [np.zeros(len(doc), np.int64)], []
                 for k in range(EDGE):
                     i = np.where(right, p + k, p - 1 - k)
-                    ok = (i >= low) & (i < high)
-                    i = np.clip(i, 0, max(len(w.doc) - 1, 0))
+                    more.append((i >= low) & (i < high))
+                    i = np.clip(i, 0, last)
                     h = textvec.mix(h * _STEP + w.hash[i])
-                    hashes.append(h)
-                    ends.append(np.where(right, w.end[i], w.start[i]) - offsets[doc])
-                    more.append(ok)
+                    hashes.append(h.astype(np.uint32))
+                    ends.append(np.abs(np.where(right, w.end[i], w.start[i]) - base))
                 ok = np.array(more).T
                 stop = np.concatenate([[0], np.cumsum(ok.sum(1))]).astype(np.int32)
+                held = np.hstack([np.ones((len(doc), 1), bool), ok])
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(a, b - a).take(pa.array(doc)),
                     batch.column("text_hash").slice(a, b - a).take(pa.array(doc)),
-                    pa.array(at.astype(np.int32)), pa.array(right.astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(stop), pa.array(np.array(hashes).T[ok].view(np.int64))),
-                    pa.ListArray.from_arrays(pa.array(stop), pa.array(np.array(ends).T[ok])),
-                ], ["doc_id", "text_hash", "at", "side", "hashes", "bytes"])
+                    pa.array(at.astype(np.int32)), pa.array(right.astype(np.int32)), component, first,
+                    pa.ListArray.from_arrays(pa.array(stop), pa.array(np.array(hashes).T[ok].view(np.int32))),
+                    pa.array(base - offsets[doc]),
+                    pa.ListArray.from_arrays(pa.array(stop + np.arange(len(stop), dtype=np.int32)),
+                                             pa.array(np.array(ends).T[held].astype(np.int32))),
+                ], ["doc_id", "text_hash", "at", "side", "component", "first", "hashes", "base", "bytes"])
 
     return _joined_positions(docs, packed, size).select("doc_id", "text_hash", "text", "borders").mapInArrow(
-        run, "doc_id long, text_hash long, at int, side int, hashes array<long>, bytes array<long>").dropDuplicates(
-        ["doc_id", "text_hash", "at", "side"])
+        run, "doc_id long, text_hash long, at int, side int, component long, first boolean, "
+             "hashes array<int>, base long, bytes array<int>")
 
 
 def _islands(rows: DataFrame, gap: int) -> DataFrame:
@@ -249,26 +253,30 @@ def _islands(rows: DataFrame, gap: int) -> DataFrame:
 
 
 def _grown(docs: DataFrame, runs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """``runs`` with ``at``, ``stop_at``, ``start`` and ``stop`` moved outward over equal words."""
+    """``runs`` moved outward over equal words, with their byte ranges ``start`` to ``stop``.
+
+    Rows with one id and text come more than once out of ``_around``; the maxima take one.
+    """
     sides = F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("at").alias("at"), F.col("left_of").alias("component")),
         F.struct(F.lit(1).alias("side"), F.col("stop_at").alias("at"), F.col("right_of").alias("component")))).alias("x")
-    edges = runs.select("doc_id", "text_hash", "run", sides).select("doc_id", "text_hash", "run", "x.*")
-    first = edges.select("component", "side").distinct().join(firsts, "component").select(
-        "component", "side", F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"),
-        F.when(F.col("side") == 0, F.col("first.at")).otherwise(F.col("first.stop_at")).alias("at"))
-    place = ["doc_id", "text_hash", "at", "side"]
-    around = stored(_around(docs, edges.select(place).unionByName(first.select(place))), "around")
-    model = first.join(around, place).select("component", "side", F.col("hashes").alias("model"))
+    edges = runs.select("doc_id", "text_hash", sides).select("doc_id", "text_hash", "x.*", F.lit(False).alias("first"))
+    models = edges.select("component", "side").distinct().join(firsts, "component").select(
+        F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"), "side",
+        F.when(F.col("side") == 0, F.col("first.at")).otherwise(F.col("first.stop_at")).alias("at"),
+        "component", F.lit(True).alias("first"))
+    around = stored(_around(docs, edges.unionByName(models)), "around")
+    model = around.where("first").select("component", "side", F.col("hashes").alias("model")).dropDuplicates(["component", "side"])
     same = F.size(F.filter(F.arrays_zip("hashes", "model"), lambda x: x["hashes"] == x["model"]))
-    moved = (edges.join(around, place).join(model, ["component", "side"]).withColumn("k", same).where("k > 0")
-             .select("doc_id", "text_hash", "run", "side", "k", F.element_at("bytes", F.col("k")).alias("byte"))
-             .groupBy("doc_id", "text_hash", "run").agg(
-                 *(F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{c}{side}") for side in (0, 1) for c in ("k", "byte"))))
-    return runs.join(moved, ["doc_id", "text_hash", "run"], "left").select(
-        "doc_id", "text_hash", "first_doc", (F.col("at") - F.coalesce("k0", F.lit(0))).alias("at"),
-        (F.col("stop_at") + F.coalesce("k1", F.lit(0))).alias("stop_at"),
-        F.coalesce("byte0", "start").alias("start"), F.coalesce("byte1", "stop").alias("stop"))
+    moved = around.where("NOT first").join(model, ["component", "side"]).withColumn("k", same).withColumn(
+        "further", F.element_at("bytes", F.col("k") + 1)).groupBy("doc_id", "text_hash", "at", "side").agg(
+        F.max("k").alias("k"), F.max("further").alias("further"), F.max("base").alias("base"))
+    left = moved.where("side = 0").select("doc_id", "text_hash", "at", (F.col("at") - F.col("k")).alias("new_at"),
+                                          (F.col("base") - F.col("further")).alias("start"))
+    right = moved.where("side = 1").select("doc_id", "text_hash", F.col("at").alias("stop_at"),
+                                           (F.col("at") + F.col("k")).alias("new_stop"), (F.col("base") + F.col("further")).alias("stop"))
+    return runs.join(left, ["doc_id", "text_hash", "at"]).join(right, ["doc_id", "text_hash", "stop_at"]).select(
+        "doc_id", "text_hash", "first_doc", F.col("new_at").alias("at"), F.col("new_stop").alias("stop_at"), "start", "stop")
 
 
 def repeated_passages(docs: DataFrame, pct: int = PCT, min_words: int = MIN_WORDS,
@@ -289,14 +297,18 @@ def repeated_passages(docs: DataFrame, pct: int = PCT, min_words: int = MIN_WORD
                    .select("own", "first_doc", F.coalesce("component", "own").alias("component")), "named")
     least = named.groupBy("component").agg(F.min("first_doc").alias("first_doc"))
     repeats = named.select("own", "component").join(least, "component").select("own", "component", "first_doc")
-    marked = stored(joined_ids(found.drop("reach"), repeats, "inner", "own").withColumn("stop_at", F.col("at") + F.col("words")), "marked")
-    firsts = marked.where("doc_id = first_doc").groupBy("component").agg(
-        F.min(F.struct("doc_id", "text_hash", "at", "stop_at")).alias("first"))
-    later = marked.where("doc_id != first_doc").dropDuplicates(["doc_id", "text_hash", "at", "own"])
+    marked = stored(joined_ids(found.drop("reach"), repeats, "inner", "own").select(
+        "doc_id", "text_hash", "at", (F.col("at") + F.col("words")).alias("stop_at"), "component", "first_doc"), "marked")
+    discard(named)
+    firsts = stored(marked.where("doc_id = first_doc").groupBy("component").agg(
+        F.min(F.struct("doc_id", "text_hash", "at", "stop_at")).alias("first")), "firsts")
+    later = marked.where("doc_id != first_doc").groupBy("doc_id", "text_hash", "at", "stop_at").agg(
+        F.min("component").alias("component"), F.min("first_doc").alias("first_doc"))
     runs = stored(_islands(later, 0).groupBy("doc_id", "text_hash", "run").agg(
-        F.min("at").alias("at"), F.max("stop_at").alias("stop_at"), F.min("start").alias("start"), F.max("stop").alias("stop"),
+        F.min("at").alias("at"), F.max("stop_at").alias("stop_at"),
         F.min("first_doc").alias("first_doc"), F.min(F.struct("at", "component"))["component"].alias("left_of"),
         F.max(F.struct("stop_at", "component"))["component"].alias("right_of")), "runs")
+    discard(marked)
     whole = _islands(_grown(docs, runs, firsts), GAP).groupBy("doc_id", "text_hash", "run").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"),
         (F.max("stop_at") - F.min("at")).alias("words"), F.min("first_doc").alias("first_doc"))
