@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gamelake.llm.tables import stored
+from gamelake.llm.tables import discard, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -43,7 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
         mark = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if mark == seen or not mark["n"]:
             break
-        seen = mark
-        e = stored(_small_star(_large_star(e)), "stars")
+        seen, before = mark, e
+        e = stored(_small_star(_large_star(before)), "stars")
+        discard(before)
     roots = e.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

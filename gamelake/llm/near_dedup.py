@@ -16,9 +16,9 @@ bucket in common have all pairs of different components counted on the full sets
 At similarity 0.8 a pair shares no bucket with probability (1 - 0.8 ** 4) ** 32 = 5e-8.
 
 Cases: null and blank texts have an empty set and link with nothing; texts shorter than
-a shingle are one shingle; repeated ids are rows of their own; a row with a null id is
-its own group unless its copies have an id; an empty table gives an empty result; extra
-columns are ignored.
+a shingle are one shingle; repeated ids are rows of their own; a row with a null id links
+like any other, and a group without any id has no component id and keeps the text of least
+hash; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,18 +27,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gamelake.llm import textvec
 from gamelake.llm.components import components
-from gamelake.llm.tables import joined_ids, stored
+from gamelake.llm.tables import discard, free_name, joined_ids, stored
 
 BINS, ROWS = 128, 4
 SMALL_BUCKET = 16
 BLOCK_CLASSES, BLOCK_SHINGLES = 512, 1 << 18
 OWN_BLOCK = 64          # classes of one component in one bucket that get blocks of their own
 FEW = 64                # pairs of a block pair up to which a shingle's are listed
+LISTED = 1 << 20        # listed pairs in memory at once
 COLUMNS = 2048
 _SHIFT = np.uint64(64 - BINS.bit_length() + 1)
 _PROBES = np.random.default_rng(7).integers(0, BINS, (BINS, 4096), dtype=np.int16)
@@ -84,7 +85,7 @@ def _digests(sets: list[np.ndarray], seed: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, n_shingles, c1, c2, keys): c1 and c2 name the set, keys its buckets."""
+    """(doc_id, row, n_shingles, c1, c2, keys): c1 and c2 name the set, keys its buckets, row the id and text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in textvec.slices(batch.column("text")):
@@ -94,13 +95,18 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                 for i, k in zip(full, band_keys([sets[i] for i in full]) if full else [], strict=True):
                     keys[i] = k
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(a, b - a),
+                    batch.column("doc_id").slice(a, b - a), batch.column("row").slice(a, b - a),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(_digests(sets, 1)), pa.array(_digests(sets, 2)), textvec.long_lists(keys),
-                ], ["doc_id", "n_shingles", "c1", "c2", "keys"])
+                ], ["doc_id", "row", "n_shingles", "c1", "c2", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, c1 long, c2 long, keys array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text", row_hash().alias("row")).mapInArrow(
+        run, "doc_id long, row long, n_shingles long, c1 long, c2 long, keys array<long>")
+
+
+def row_hash() -> Column:
+    """Names a row by its id, null or not, and its text; only equal rows share it."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull(), "text")
 
 
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -122,8 +128,10 @@ def _confirmed(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], pct:
     left = sets.select(F.col("c1").alias("a"), F.col("set").alias("sa"))
     right = sets.select(F.col("c1").alias("b"), F.col("set").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(left, "a").join(right, "b")
-            .where(100 * both >= pct * (F.size("sa") + F.size("sb") - both)).select("a", "b"))
+    links = stored(pairs.join(left, "a").join(right, "b")
+                   .where(100 * both >= pct * (F.size("sa") + F.size("sb") - both)).select("a", "b"), "links")
+    discard(sets)
+    return links
 
 
 def _star(members: DataFrame, turn: int) -> DataFrame:
@@ -182,8 +190,12 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
         size = np.where(listed, count[0], 0)
         first = np.cumsum(size) - size
         times = count[0][t]
-        at = np.repeat(first[t] - (np.cumsum(times) - times), times) + np.arange(times.sum())
-        out += np.bincount(row[at] * m + np.repeat(rows[1][other], times), minlength=n * m).reshape(n, m)
+        ends, of = np.cumsum(times), rows[1][other]
+        cuts = np.unique(np.searchsorted(ends, np.arange(LISTED, ends[-1], LISTED)))
+        for part in np.split(np.arange(len(t)), cuts):
+            size = times[part]
+            at = np.repeat(first[t[part]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            out += np.bincount(row[at] * m + np.repeat(of[part], size), minlength=n * m).reshape(n, m)
     dense = np.flatnonzero(product > FEW)
     for k in range(0, len(dense), COLUMNS):
         column = np.full(len(distinct), -1)
@@ -214,7 +226,7 @@ def _exact_links(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     """
     most = members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("c1", "part").agg(
         F.max(F.struct("n", "key")).alias("most")).select("c1", "part", F.col("most.key").alias("home"))
-    own = stored(most.join(sets_of(most.select("c1")), "c1"), "sets")
+    own = whole = stored(most.join(sets_of(most.select("c1")), "c1"), "sets")
     many = own.groupBy("home", "part").agg(F.count("*").alias("n")).where(F.col("n") >= OWN_BLOCK).select(
         "home", "part", F.lit(True).alias("many"))
     own = own.join(many, ["home", "part"], "left").withColumn(
@@ -223,6 +235,7 @@ def _exact_links(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
         F.count("*") / BLOCK_CLASSES, F.sum(F.size("set")) / BLOCK_SHINGLES)).alias("blocks"))
     own = own.join(room, "home").withColumn("block", F.xxhash64("home", F.pmod(F.xxhash64("c1"), "blocks")))
     blocks = stored(own.groupBy("block").agg(F.collect_list(F.struct("c1", "part", "set")).alias("rows")), "blocks")
+    discard(whole)
     homes = blocks.select("block", F.explode("rows.c1").alias("c1"))
     met = stored(members.join(homes, "c1").groupBy("key", "block").agg(
         F.min("part").alias("x"), F.max("part").alias("y")), "met")
@@ -230,6 +243,7 @@ def _exact_links(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     both = stored(met.join(other, "key").where(
         (F.col("block") <= F.col("other")) & (F.least("x", "ox") != F.greatest("y", "oy")))
         .select("block", "other").distinct(), "block-pairs")
+    discard(met)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,12 +254,15 @@ def _exact_links(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
                 i, j = np.nonzero((100 * n >= pct * (size - n)) & (pa_[:, None] != pb[None, :]))
                 yield pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(b[j])], ["a", "b"])
 
-    return (both.join(blocks, "block").join(blocks.select(F.col("block").alias("other"), F.col("rows").alias("others")),
-            "other").select("rows", "others").mapInArrow(run, "a long, b long"))
+    links = stored(both.join(blocks, "block").join(
+        blocks.select(F.col("block").alias("other"), F.col("rows").alias("others")), "other")
+        .select("rows", "others").mapInArrow(run, "a long, b long"), "links")
+    discard(both, blocks)
+    return links
 
 
 def _joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
-    """Components (node, component) after more links, each round over its new links only."""
+    """Components (node, component) after more links, each round over its new links only; replaces ``parts``."""
     if parts is None:
         return stored(components(links), "components")
     ends = links
@@ -256,7 +273,9 @@ def _joined(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     old = parts.join(moved.select(F.col("node").alias("component"), F.col("component").alias("c")), "component", "left")
     old = old.select("node", F.coalesce("c", "component").alias("component"))
     new = moved.join(parts, "node", "left_anti")
-    return stored(old.unionByName(new), "components")
+    joined = stored(old.unionByName(new), "components")
+    discard(parts)
+    return joined
 
 
 def settled(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], pct: int) -> DataFrame | None:
@@ -265,24 +284,31 @@ def settled(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], pct:
     ``members``: (key, c1, part), each class of a bucket once, ``part`` the class itself.
     ``sets_of`` gives (c1, set) of the classes ``c1`` that it is asked for. No link, no table.
     """
-    tried, parts = None, None
+    tried, parts, given = None, None, members
     for turn in range(3):
         if turn == 2:  # the small buckets are done with; what is open in the large ones is settled
-            links = stored(_exact_links(members, sets_of, pct), "links")
+            links = _exact_links(members, sets_of, pct)
         else:
             pairs = _star(members, turn)
             if turn == 1:
                 pairs = pairs.unionByName(_all_left(members)).distinct().join(tried, ["a", "b"], "left_anti")
-            tried = stored(pairs, "pairs")
-            links = stored(_confirmed(tried, sets_of, pct), "links")
+            pairs = stored(pairs, "pairs")
+            if tried is not None:
+                discard(tried)
+            tried = pairs
+            links = _confirmed(tried, sets_of, pct)
         if links.take(1):
             parts = _joined(parts, links)
+        discard(links)
         if turn == 2:
             break
+        before = members
         if parts is not None:
             members = members.drop("part").join(parts.withColumnRenamed("node", "c1"), "c1", "left").select(
                 "key", "c1", F.coalesce("component", "c1").alias("part"))
         members = stored(_unsettled(_large(members) if turn else members), "unsettled")
+        if before is not given:
+            discard(before)
         if not members.take(1):
             break
     return parts
@@ -290,47 +316,63 @@ def settled(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], pct:
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, pct: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, class_id) of every row of ``docs``."""
+    return _grouped(docs, shingle, pct).drop("row")
+
+
+def _grouped(docs: DataFrame, shingle: int, pct: int) -> DataFrame:
+    """As ``near_duplicates``, with the ``row_hash`` of each row.
+
+    A group's representative is its least id; without any id, its least row hash.
+    """
     sketched = stored(sketches(docs, shingle), "sketches")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     classes = stored(sketched.where("n_shingles > 0").groupBy("c1", "c2").agg(
-        F.min("doc_id").alias("min_id"), F.min("doc_id").alias("any_id"), F.first("keys").alias("keys")), "classes")
+        F.min(first).alias("first"), F.first("keys").alias("keys")), "classes")
     buckets = classes.select("c1", F.explode("keys").alias("key"))
     # Only keys of at least two classes matter from here on.
     shared = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = stored(buckets.join(shared, "key").withColumn("part", F.col("c1")), "buckets")
 
     def sets_of(asked: DataFrame) -> DataFrame:
-        # An id that occurs twice brings texts of other classes, which no pair asks for.
-        ids = classes.join(asked, "c1").select(F.col("any_id").alias("doc_id")).distinct()
-        return _sets(joined_ids(docs.select("doc_id", "text"), ids, "left_semi"), shingle).dropDuplicates(["c1"])
+        rows = classes.join(asked, "c1").select(F.col("first.row").alias("row")).distinct()
+        texts = joined_ids(docs.select("text", row_hash().alias("row")), rows, "left_semi", "row")
+        return _sets(texts, shingle).dropDuplicates(["c1"])
 
     parts = settled(members, sets_of, pct)
-    named = classes.select("c1", "c2", "min_id")
+    discard(members)
+    named = classes.select("c1", "c2", "first")
     if parts is not None:
         group = (named.join(parts.withColumnRenamed("node", "c1"), "c1", "left")
                  .withColumn("part", F.coalesce("component", "c1")))
-        least = group.groupBy("part").agg(F.min("min_id").alias("component_id"))
-        named = group.join(least, "part").select("c1", "c2", "component_id")
-    else:
-        named = named.withColumnRenamed("min_id", "component_id")
+        least = group.groupBy("part").agg(F.min("first").alias("least"))
+        named = group.join(least, "part").select("c1", "c2", F.col("least").alias("first"))
     rows = sketched.drop("keys").join(named, ["c1", "c2"], "left")
-    component = F.coalesce("component_id", "doc_id")
+    component = F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    # Without an id in the group, the rows equal to the representative are kept.
+    kept = F.when(component.isNotNull(), F.coalesce(F.col("doc_id") == component, F.lit(False))).otherwise(
+        F.col("first").isNull() | (F.col("row") == F.col("first.row")))
     return rows.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
+        "doc_id", "row", "n_shingles", component.alias("component_id"), kept.alias("kept"),
         F.when(F.col("n_shingles") > 0, F.col("c1")).alias("class_id"))
 
 
 def kept_documents(docs: DataFrame, shingle: int = 5, pct: int = 80) -> DataFrame:
     """One document of each group, the one with the smallest id.
 
-    Of rows that share an id, those with different texts all stay where one of them does;
-    rows without an id stay.
+    Rows that share an id are judged apart, each by its own text; those equal in id and text
+    count once. A row without an id goes where its group has an id, or another text without
+    one that comes first by its hash; equal texts without an id count once. Blank texts
+    without an id all stay.
     """
-    rows = near_duplicates(docs, shingle, pct).where("doc_id IS NOT NULL")
-    ids = stored(rows.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "groups")
-    left = joined_ids(docs, ids.where("NOT kept").select("doc_id"), "left_anti")
-    many = ids.where("kept AND n > 1").select("doc_id")
+    name = free_name(docs, "row")
+    rows = _grouped(docs, shingle, pct).groupBy("row").agg(
+        F.max("kept").alias("kept"), F.count("*").alias("n"),
+        F.max(F.col("doc_id").isNotNull() | (F.col("n_shingles") > 0)).alias("once"))
+    rows = stored(rows, "groups")
+    keyed = docs.withColumn(name, row_hash())
+    left = joined_ids(keyed, rows.where("NOT kept").select(F.col("row").alias(name)), "left_anti", name)
+    many = rows.where("kept AND n > 1 AND once").select(F.col("row").alias(name))
     if not many.take(1):
-        return left
-    one = joined_ids(left, many, "left_semi").dropDuplicates(["doc_id", "text"])
-    return joined_ids(left, many, "left_anti").unionByName(one)
+        return left.drop(name)
+    one = joined_ids(left, many, "left_semi", name).dropDuplicates([name])
+    return joined_ids(left, many, "left_anti", name).unionByName(one).drop(name)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gamelake.llm import near_dedup, textvec
-from gamelake.llm.tables import discard, free_name, joined_ids, stored
+from gamelake.llm.tables import discard, free_name, joined_ids, release, stored
 
 SHINGLE, PCT = 5, 80
 FINE, COARSE = 4, 20
@@ -179,6 +179,7 @@ def _near_parts(docs: DataFrame, pct: int, recall: float) -> DataFrame | None:
     if pct >= 100:
         return None
     classes = stored(_banded(docs, pct, recall).dropDuplicates(["c1"]), "classes")
+    release(docs.sparkSession)
     every = classes.select("c1", F.explode("keys").alias("key"))
     shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")  # a class has a key once
     members = stored(joined_ids(every, shared, "left_semi", "key").withColumn("part", F.col("c1")), "buckets")
@@ -295,6 +296,7 @@ def repeated_passages(docs: DataFrame, pct: int = PCT, min_words: int = MIN_WORD
     named = stored(ends.join(parts.withColumnRenamed("node", "own"), "own", "left")
                    .where(F.col("component").isNotNull() | ((F.col("reach") == FINE) & (F.col("first_doc") != F.col("last_doc"))))
                    .select("own", "first_doc", F.coalesce("component", "own").alias("component")), "named")
+    release(docs.sparkSession)
     least = named.groupBy("component").agg(F.min("first_doc").alias("first_doc"))
     repeats = named.select("own", "component").join(least, "component").select("own", "component", "first_doc")
     marked = stored(joined_ids(found.drop("reach"), repeats, "inner", "own").select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -69,11 +70,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables that ``stored`` wrote, when nothing reads them any more."""
+    """Delete tables that ``stored`` wrote, when nothing reads them any more, and old shuffle files."""
     for t in tables:
         sc = t.sparkSession.sparkContext
         path = sc._jvm.org.apache.hadoop.fs.Path(t.stored_path)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        release(tables[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the executors delete the shuffle files of finished queries.
+
+    Spark's cleaner removes what the driver has no reference to, which it learns when the
+    driver collects its garbage; between two large steps that would be a matter of luck.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -125,7 +125,25 @@ def test_kept_documents(spark):
     rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "q"), (3, "q"), (None, "a b c d e f"), (4, None), (5, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("kept", F.lit(7)).withColumn("n", F.lit(7))
     got = sorted(((r["doc_id"], r["text"], r["kept"]) for r in near_dedup.kept_documents(df).collect()), key=str)
-    assert got == sorted([(d, t, 7) for d, t in [rows[0], rows[2], *rows[4:]]], key=str)
+    assert got == sorted([(d, t, 7) for d, t in [rows[0], rows[2], *rows[5:]]], key=str)
+
+
+def test_null_and_repeated_ids_link_by_their_text(spark):
+    """A row without an id links like any other; rows of one id are judged by their own texts."""
+    w = [f"w{i}" for i in range(60)]
+    t, near = " ".join(w), " ".join([*w[:-1], "x"])
+    u, near_u = " ".join(f"u{i}" for i in range(60)), " ".join(f"u{i}" for i in range(1, 60))
+    rows = [(None, t), (3, near), (4, " ".join(w[1:])), (None, u), (None, u), (None, near_u), (None, None), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_dedup.near_duplicates(df, 5).collect()
+    assert sorted(((r["doc_id"], r["component_id"]) for r in got if r["n_shingles"] and (r["component_id"] or r["doc_id"])), key=str) == \
+        sorted([(None, 3), (3, 3), (4, 3)], key=str)
+    kept = near_dedup.kept_documents(df).collect()
+    assert sum(r["doc_id"] == 3 for r in kept) == 1 and sum(r["text"] is None for r in kept) == 2
+    assert sum(r["text"] in (u, near_u) for r in kept) == 1 and len(kept) == 4
+    rows = [(1, t), (1, u), (9, near_u), (8, t), (1, t)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1)).withColumn("__row", F.lit(1))
+    assert sorted((r["doc_id"], r["text"]) for r in near_dedup.kept_documents(df).collect()) == sorted([(1, t), (1, u)])
 
 
 def test_common_counts():
