@@ -6,9 +6,13 @@ out by size, largest first, to the shard that is least full; growing edits the m
 that slots move only into the new shard. Only the map (``n_slots`` rows, a parameter)
 is ever held in one place; the records meet it in a broadcast join.
 
+Hot ids: an id (or no id) with more than ``HOT_ROWS`` rows would make its slot heavier than
+a shard's share. Its rows are numbered once, in a stored table, and each hashes with its
+number, so that they lie in all slots; no window or map entry then holds them all.
+
 Cases: a null text counts no bytes; a null id is a key like any other; an empty table
-gives an empty result and a map of empty slots; equal rows share a slot and are
-numbered one after the other; extra input columns are ignored.
+gives an empty result and a map of empty slots; rows of one id share a slot up to
+``HOT_ROWS`` and are numbered one after the other; extra input columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,10 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gamelake.llm.tables import stored
+from gamelake.llm.tables import joined_ids, stored
 
 N_SLOTS = 4096
 ROW_BYTES = 16
+HOT_ROWS = 100          # rows of one id that may share a slot
 
 
 def with_slots(df: DataFrame, key: list[Column], size: Column, n_slots: int = N_SLOTS) -> DataFrame:
@@ -30,6 +35,20 @@ def with_slots(df: DataFrame, key: list[Column], size: Column, n_slots: int = N_
     })
 
 
+def spread_hot(slotted: DataFrame, key: str, hot_rows: int = HOT_ROWS, n_slots: int = N_SLOTS) -> DataFrame:
+    """``slotted`` with the rows of every key over ``hot_rows`` spread over all slots.
+
+    ``key`` is a column without nulls. The row numbers are stored before a slot hangs on
+    them, so a task that runs again gives its rows the same slots.
+    """
+    numbered = stored(slotted.withColumn("row_number", F.monotonically_increasing_id()), "slotted")
+    hot = numbered.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows).select(key, F.lit(True).alias("hot"))
+    spread = F.pmod(F.xxhash64(key, "row_number"), F.lit(n_slots)).cast("int")
+    return (joined_ids(numbered, hot, "left", key)
+            .withColumn("virtual_slot", F.when(F.col("hot"), spread).otherwise(F.col("virtual_slot")))
+            .drop("hot", "row_number"))
+
+
 def slot_sizes(slotted: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
     """Rows and bytes of every slot, empty slots included."""
     spark = slotted.sparkSession
@@ -104,6 +123,8 @@ def shard_documents(docs: DataFrame, n_shards: int, n_slots: int = N_SLOTS) -> t
     size = F.octet_length(text) + F.lit(ROW_BYTES)
     slotted = with_slots(docs.select("doc_id", F.crc32(text).alias("text_crc32"), "text"),
                          [F.col("doc_id")], size, n_slots).drop("text")
+    key = F.xxhash64("doc_id", F.col("doc_id").isNull())
+    slotted = stored(spread_hot(slotted.withColumn("id_key", key), "id_key", n_slots=n_slots).drop("id_key"), "slotted")
     first = stored(first_map(slot_sizes(slotted, n_slots), n_shards), "slot-map-1")
     second = stored(grown_map(first, n_shards), "slot-map-2")
     grown = F.broadcast(second.select("virtual_slot", F.col("shard").alias("next_shard")))
