@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 from gamelake.llm.tables import joined_ids, stored, training_row
 
 TRAIN_ROWS = 20_000     # labelled texts that are learned from, the first by a hash of their id
-MAX_TERMS = 5_000       # size of the learned lexicon
 MIN_CONTEXTS = 5
 MIN_WEIGHT = 4.0
 PREFIXES = (4, 5, 6)
@@ -235,7 +234,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     prior = math.log(n[0] / n[1])
     terms = _terms(texts).withColumn(
         "weight", F.log((F.col("t") + 0.5) / (F.col("c") + 0.5)) + prior).where(F.col("weight") >= MIN_WEIGHT)
-    top = terms.orderBy(F.desc("weight"), "term", "prefix").limit(MAX_TERMS).collect()
+    top = terms.orderBy(F.desc("weight"), "term", "prefix").collect()  # terms of at most ``rows`` texts
     lexicon = Lexicon({r["term"]: r["weight"] for r in top if not r["prefix"]},
                       {r["term"]: r["weight"] for r in top if r["prefix"]})
     totals = _totals(texts, lexicon, ["toxic"]).toPandas()  # at most `rows` numbers
