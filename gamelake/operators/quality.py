@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gamelake.operators.dedup import with_key
 from gamelake.operators.joins import key_diff
 
 
@@ -248,8 +249,8 @@ def near_duplicates(bronze: DataFrame, key_path: str = "$.event_id") -> DataFram
     VARIANT is not groupable, so payloads are compared by a hash of their JSON text.
     Two-level aggregation: per id (partial-aggregated), then global sums.
     """
-    per_key = bronze.select(F.try_variant_get("raw_data", key_path, "string").alias("k"),
-                            F.xxhash64(F.to_json("raw_data")).alias("h")).where(F.col("k").isNotNull()) \
+    per_key = with_key(bronze, F.try_variant_get("raw_data", key_path, "string"), "k") \
+        .select("k", F.xxhash64(F.to_json("raw_data")).alias("h")) \
         .groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("h").alias("payloads"))
     return per_key.agg(
         F.count(F.lit(1)).alias("distinct_keys"),
