@@ -87,14 +87,14 @@ def _ingest_by_type(spark, sf):
 
 def _late_run(spark, sf, base):
     """Two triggers of the splitting stream: newer days first, then older ones that come late."""
-    raw = models(spark, sf).raw["session_event"]
-    typed = stg_sessions(raw)
+    stg_sessions(models(spark, sf).raw["session_event"]).write.parquet(f"{base}/staged")  # three jobs read it
+    typed = spark.read.schema(SESSION_SCHEMA).parquet(f"{base}/staged")
     cut = _cutoff(typed, "event_timestamp", 1)
     literal = F.lit(str(cut)).cast("timestamp_ntz")
     table = sessions_table(spark, base + "/sessions")
     sink = landing.LateSplit(table, base + "/late", base + "/_checkpoint")
     for k, part in enumerate((F.col("event_timestamp") >= literal, F.col("event_timestamp") < literal)):
-        stg_sessions(raw).where(part).write.parquet(f"{base}/typed/{k}")
+        typed.where(part).write.parquet(f"{base}/typed/{k}")
         stream = spark.readStream.schema(SESSION_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{base}/typed")
         (stream.writeStream.foreachBatch(sink).option("checkpointLocation", base + "/_checkpoint")
          .trigger(availableNow=True).start().awaitTermination())
@@ -144,7 +144,7 @@ def _mart_spans(spark, sf):
 @register("match_survivor_payloads")
 def _payloads(spark, sf):
     """Survivor rows with fields read from their own whole payload, which staging keeps on request."""
-    e = models(spark, sf, complete=True).int_match_enriched
+    e = models(spark, sf, complete=True).match_survivors("player_id", "score")
     return e.select("match_id", "survivor_player_id", "survivor_score",
                     F.try_variant_get("survivor_payload", "$.player_id", "string").alias("payload_player_id"),
                     F.try_variant_get("survivor_payload", "$.score", "bigint").alias("payload_score"))
