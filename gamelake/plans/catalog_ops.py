@@ -344,7 +344,7 @@ def _agg_stddev(spark, sf):
 
 @register("agg_median")
 def _agg_median(spark, sf):
-    e = models(spark, sf).int_match_enriched
+    e = models(spark, sf).match_survivors("score")
     return exact_percentile_spread(e, ["survivor_character_id"], "survivor_score", 0.5, "median_score")
 
 
@@ -382,7 +382,7 @@ def _agg_min_order(spark, sf):
 
 @register("pivot_mean")
 def _pivot_mean(spark, sf):
-    e = models(spark, sf).int_match_enriched
+    e = models(spark, sf).match_survivors("score")
     p = e.groupBy("killer_character_id").pivot("game_mode", fixed.GAME_MODES).agg(F.avg("survivor_score"))
     return rounded(p, {c: 6 for c in fixed.GAME_MODES})
 
@@ -479,7 +479,7 @@ def _union_all(spark, sf):
     mm = models(spark, sf)
     k = mm.stg_matches.groupBy(F.col("killer_player_id").alias("player_id")).agg(F.count(F.lit(1)).alias("matches")) \
         .withColumn("role", F.lit("killer"))
-    s = mm.int_match_enriched.groupBy(F.col("survivor_player_id").alias("player_id")).agg(
+    s = mm.match_survivors("player_id").groupBy(F.col("survivor_player_id").alias("player_id")).agg(
         F.count(F.lit(1)).alias("matches")).withColumn("role", F.lit("survivor"))
     return k.unionByName(s)
 
