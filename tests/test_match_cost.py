@@ -1,12 +1,14 @@
 """The dear steps of match events run once a row: building a payload, typed reads, sorting wide rows."""
 from pyspark.sql import functions as F
 
+from __spark_entry__ import SF_SMOKE
 from conftest import plan_text, rows
 from gamelake.operators import quality as Q
 from gamelake.operators.dedup import latest_by_tied
 from gamelake.plans import intermediate as I
 from gamelake.plans import match as M
 from gamelake.plans import staging as S
+from gamelake.plans.catalog import REGISTRY
 from gamelake.plans.models import Models
 from gamelake.sources.seeds import seed
 
@@ -69,3 +71,11 @@ def test_few_survivor_fields_equal_the_whole_model(spark):
     complete = Models(spark, raw, complete=True)
     texts = lambda d: rows(d.select("match_id", "survivor_score", F.to_json("survivor_payload").alias("p")))
     assert texts(complete.match_survivors("score")) == texts(complete.int_match_enriched)
+
+
+def test_number_of_survivors_needs_no_other_field(spark):
+    m = Models(spark, {"match_completed": _bronze(spark)})
+    few, count = m.matches_with("character_id"), F.size("survivors").alias("n")
+    assert rows(few.select("match_id", count)) == rows(m.stg_matches.select("match_id", count))
+    plan = plan_text(REGISTRY["stg_matches"](spark, SF_SMOKE), execute=False)
+    assert "StructField(generators_completed" not in plan
