@@ -79,3 +79,11 @@ def test_number_of_survivors_needs_no_other_field(spark):
     assert rows(few.select("match_id", count)) == rows(m.stg_matches.select("match_id", count))
     plan = plan_text(REGISTRY["stg_matches"](spark, SF_SMOKE), execute=False)
     assert "StructField(generators_completed" not in plan
+
+
+def test_stored_matches_need_no_stored_survivors(spark):
+    lazy, stored = (Models(spark, {"match_completed": _bronze(spark)}, materialize=kept) for kept in (False, True))
+    few = stored.match_survivors("escaped", "perks")
+    assert "int_match_enriched" not in vars(stored)
+    want = lazy.match_survivors("escaped", "perks")
+    assert rows(few.select(*want.columns)) == rows(want)
