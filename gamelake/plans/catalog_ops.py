@@ -344,7 +344,7 @@ def _agg_stddev(spark, sf):
 
 @register("agg_median")
 def _agg_median(spark, sf):
-    e = models(spark, sf).match_survivors("score")
+    e = models(spark, sf).match_survivors("character_id", "score")
     return exact_percentile_spread(e, ["survivor_character_id"], "survivor_score", 0.5, "median_score")
 
 
@@ -477,9 +477,10 @@ def _latest_row(spark, sf):
 @register("union_all")
 def _union_all(spark, sf):
     mm = models(spark, sf)
-    k = mm.stg_matches.groupBy(F.col("killer_player_id").alias("player_id")).agg(F.count(F.lit(1)).alias("matches")) \
+    m = mm.matches_shared(["killer_character_id", "killer_player_id"], "player_id")
+    k = m.groupBy(F.col("killer_player_id").alias("player_id")).agg(F.count(F.lit(1)).alias("matches")) \
         .withColumn("role", F.lit("killer"))
-    s = mm.match_survivors("player_id").groupBy(F.col("survivor_player_id").alias("player_id")).agg(
+    s = mm.survivors_of(m).groupBy(F.col("survivor_player_id").alias("player_id")).agg(
         F.count(F.lit(1)).alias("matches")).withColumn("role", F.lit("survivor"))
     return k.unionByName(s)
 
