@@ -9,6 +9,7 @@ from gamelake.plans import intermediate as I
 from gamelake.plans import match as M
 from gamelake.plans import staging as S
 from gamelake.plans.catalog import REGISTRY
+from gamelake.plans.check_suite import Check, run_suite
 from gamelake.plans.models import Models
 from gamelake.sources.seeds import seed
 
@@ -87,3 +88,43 @@ def test_stored_matches_need_no_stored_survivors(spark):
     assert "int_match_enriched" not in vars(stored)
     want = lazy.match_survivors("escaped", "perks")
     assert rows(few.select(*want.columns)) == rows(want)
+
+
+def test_lifetime_and_scores_read_one_survivor_field(spark):
+    for key, field in (("join_multi_left", "platform_player_id"), ("pivot_mean", "score"), ("union_all", "player_id")):
+        plan = plan_text(REGISTRY[key](spark, SF_SMOKE), execute=False)
+        assert f"StructType(StructField({field}," in plan
+        assert "StructField(character_id" not in plan, key
+    m = Models(spark, {"match_completed": _bronze(spark)})
+    assert "survivor_name" not in m.match_survivors("score").columns
+    named = ("match_id", "survivor_character_id", "survivor_name")
+    assert rows(m.match_survivors("character_id").select(*named)) == rows(m.int_match_enriched.select(*named))
+
+
+def test_two_readers_of_matches_deduplicate_them_once(spark):
+    for key in ("fct_perk_performance", "union_all"):
+        plan = plan_text(REGISTRY[key](spark, SF_SMOKE)).split("== Initial Plan ==")[0]
+        assert plan.count("Window [") == 4, key
+
+
+def test_suite_counts_rows_and_repeated_values_in_one_pass(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, 9), (None, 9), ("b", 9), ("c", 2)], "k string, v int")
+    models = type("M", (), {"m": df, "none": df.where("false")})
+    checks = [Check(m, c, *k) for m in ("m", "none") for c, *k in (
+        ("k", "unique"), ("k", "not_null"), ("v", "unique"), ("v", "not_null"), ("v", "between", (0, 5)))]
+    got = {(r.model, r.column_name, r.check): (r.failing_rows, r.status) for r in run_suite(models, checks).collect()}
+    assert got == {("m", "k", "unique"): (1, "error"), ("m", "k", "not_null"): (2, "error"), ("m", "v", "unique"): (1, "error"),
+                   ("m", "v", "not_null"): (1, "error"), ("m", "v", "between"): (3, "error"),
+                   **{("none", c, k): (0, "pass") for c, k in (("k", "unique"), ("k", "not_null"), ("v", "unique"),
+                                                               ("v", "not_null"), ("v", "between"))}}
+    plan = plan_text(run_suite(models, [c for c in checks if c.model == "m" and c.column == "k"]), execute=False)
+    assert "Union" not in plan
+
+
+def test_suite_deduplicates_each_source_once(spark):
+    raw = {"match_completed": _bronze(spark)}
+    m = Models(spark, raw, shared=True)
+    latest = m.stg_matches.groupBy("killer_kills").agg(F.max("event_id").alias("event_id"))
+    both = m.stg_matches.select("event_id").unionByName(latest.select("event_id"))
+    assert plan_text(both).split("== Initial Plan ==")[0].count("Window [") == 4
+    assert rows(m.stg_matches) == rows(Models(spark, raw).stg_matches)
